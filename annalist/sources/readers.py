@@ -55,23 +55,46 @@ def csv_candidates(path: str) -> list[str]:
     return [path, f"{path.rstrip('/')}/*.csv"]
 
 
+def _formats_found(spark: SparkSession, path: str) -> list[str]:
+    """Columnar formats the path seems to hold, judged by its first data file."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    matches = fs.globStatus(where) or []
+    if not matches:
+        return []
+    found = []
+    first = matches[0]
+    if first.isDirectory():
+        if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(first.getPath(), "_delta_log")):
+            found.append("delta")
+        files = fs.listFiles(first.getPath(), True)
+        while files.hasNext():
+            name = files.next().getPath().getName()
+            if not name.startswith(("_", ".")):
+                break
+        else:
+            name = ""
+    else:
+        name = first.getPath().getName()
+    return found + [f for f in ("parquet", "orc") if name.lower().endswith(f".{f}")]
+
+
 def read_raw(
     spark: SparkSession,
     path: str,
     required: Sequence[str],
     source_format: str = "auto",
-    columnar: Sequence[str] = ("delta", "parquet"),
     multiline: bool = False,
 ) -> DataFrame:
     """Read ``path`` in the named format, or in the first format that fulfils the contract.
 
-    ``auto`` tries the columnar formats in order and then CSV.  When nothing fits, the error
-    lists every attempt.
+    ``auto`` tries the columnar formats the path seems to hold and then CSV.  When nothing
+    fits, the error lists every attempt.
     """
     if source_format not in FORMATS:
         raise ValueError(f"source_format must be one of: {', '.join(FORMATS)}")
     if source_format == "auto":
-        attempts = [(f, path) for f in columnar]
+        attempts = [(f, path) for f in _formats_found(spark, path)]
     elif source_format == "csv":
         attempts = []
     else:
@@ -84,11 +107,7 @@ def read_raw(
             if fmt == "csv":
                 df = read_csv(spark, candidate, multiline)
             else:
-                reader = spark.read.format(fmt)
-                if fmt != "delta":
-                    # Only files that claim the format are opened on a guess.
-                    reader = reader.option("pathGlobFilter", f"*.{fmt}")
-                df = strip_bom(reader.load(candidate))
+                df = strip_bom(spark.read.format(fmt).load(candidate))
             return require_columns(df, required)
         except Exception as e:  # noqa: BLE001 - every reader fails in its own way
             errors.append(f"{fmt} {candidate}: {str(e).splitlines()[0]}")
