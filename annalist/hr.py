@@ -130,8 +130,7 @@ def scd2_dimension(
     snapshot: DataFrame, spec: EntitySpec = SPEC, with_last_seen: bool = False
 ) -> DataFrame:
     """Type-2 history with a dense key by employee and start."""
-    built = versions.build_versions(snapshot, spec, with_last_seen)
-    return dense_keys(built, ["employee_id", "effective_start_date"], "employee_sk")
+    return versions.keyed_versions(snapshot, spec, "employee_sk", with_last_seen)
 
 
 def daily_fact(snapshot: DataFrame) -> DataFrame:

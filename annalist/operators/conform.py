@@ -30,6 +30,13 @@ def quarantine(df: DataFrame, spec: EntitySpec) -> DataFrame:
     )
 
 
+def require_day(df: DataFrame, spec: EntitySpec) -> None:
+    """Refuse a date column finer than a day: the bound on rows per entity rests on it."""
+    kind = dict(df.dtypes)[spec.date]
+    if kind != "date":
+        raise ValueError(f"{spec.date} must be a date, not {kind}; parse or cast it first")
+
+
 def one_row_per_day(df: DataFrame, spec: EntitySpec) -> DataFrame:
     """Deduplicate by (entity, day), keeping the row that ``spec.tie_break`` puts first.
 
@@ -38,6 +45,7 @@ def one_row_per_day(df: DataFrame, spec: EntitySpec) -> DataFrame:
     entity-day travels whole to one task.  After this step an entity has at most one row per
     calendar day, which bounds every later per-entity window.
     """
+    require_day(df, spec)
     order = spec.tie_order() or [F.col(spec.date)]
     w = Window.partitionBy(spec.key, spec.date).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")

@@ -14,29 +14,40 @@ from annalist.sources.scratch import materialize
 _ROW_BITS = 33
 
 
-def dense_keys(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+def dense_keys(
+    df: DataFrame, order: Sequence[str], name: str, ranged: bool = False
+) -> DataFrame:
     """Add 1..N in the order of ``order``, which must identify a row.
 
     The rows are range-partitioned and sorted, each gets its position inside its partition,
     and the result is written once so that both the count per partition and the final rows
-    come from the same partitioning.  The driver sees one count per partition, nothing else.
+    come from the same partitioning.  The driver sees one line per partition, nothing else.
     The key is a long because N may exceed 2^31.
+
+    ``ranged`` says that ``df`` is already range-partitioned by a prefix of ``order``, which
+    saves the shuffle.  This is verified on the written rows; if partitions overlap after
+    all, they are partitioned again.
     """
     spark = df.sparkSession
-    placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_at", F.monotonically_increasing_id())
+    placed = (df if ranged else df.repartitionByRange(*order)).sortWithinPartitions(*order)
+    placed = materialize(placed.withColumn("_at", F.monotonically_increasing_id()), "keys")
+    part = F.shiftright("_at", _ROW_BITS).alias("_part")
+    sizes = placed.groupBy(part).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.struct(*order)).alias("low"),
+        F.max(F.struct(*order)).alias("high"),
     )
-    placed = materialize(placed, "keys").withColumn("_part", F.shiftright("_at", _ROW_BITS))
-    sizes = sorted(placed.groupBy("_part").count().collect())
-    starts = accumulate((r["count"] for r in sizes), initial=0)
+    sizes = sorted(sizes.collect(), key=lambda r: r["_part"])
+    if ranged and any(tuple(a["high"]) >= tuple(b["low"]) for a, b in zip(sizes, sizes[1:])):
+        return dense_keys(placed.drop("_at"), order, name)
+    starts = accumulate((r["n"] for r in sizes), initial=0)
     offsets = spark.createDataFrame(
         [(r["_part"], s) for r, s in zip(sizes, starts)], "_part long, _offset long"
     )
     row = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
-        placed.join(F.broadcast(offsets), "_part")
+        placed.withColumn("_part", part)
+        .join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_offset") + row + 1)
         .select(name, *df.columns)
     )

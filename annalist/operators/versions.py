@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annalist.functions.fingerprint import fingerprint, joined_text
+from annalist.operators.conform import require_day
+from annalist.operators.keys import dense_keys
 from annalist.spec import EntitySpec, open_end
 
 
@@ -23,11 +25,12 @@ def _fields(state: str, spec: EntitySpec) -> list[Column]:
     return [F.col(state)[c] for c in spec.tracked]
 
 
-def _states(rows: DataFrame, spec: EntitySpec, seen: str | None = None) -> DataFrame:
+def _states(rows: DataFrame, spec: EntitySpec) -> DataFrame:
+    require_day(rows, spec)
     return rows.select(
         F.col(spec.key),
         F.col(spec.date).alias("_day"),
-        F.col(seen or spec.date).alias("_seen"),
+        F.col(spec.date).alias("_seen"),
         F.struct(*spec.tracked).alias("_now"),
     )
 
@@ -182,14 +185,32 @@ def versions_from_states(states: DataFrame, spec: EntitySpec, with_last_seen: bo
     return out.select(*columns)
 
 
-def build_versions(snapshot: DataFrame, spec: EntitySpec, with_last_seen: bool = False) -> DataFrame:
+def build_versions(
+    snapshot: DataFrame, spec: EntitySpec, with_last_seen: bool = False, by_range: bool = False
+) -> DataFrame:
     """Type-2 history: a version starts on the first day and whenever the tracked state moves.
 
     A version ends the day before the next one starts, so missing days are bridged, and the
     last version of every entity stays open.  ``with_last_seen`` adds the last day on which
-    each version was actually delivered.
+    each version was actually delivered.  ``by_range`` brings entities together by ranges of
+    their key instead of by its hash, for which ``keyed_versions`` has use.
+    """
+    states = _states(snapshot, spec)
+    if by_range:
+        states = states.repartitionByRange(spec.key)
+    return versions_from_states(states, spec, with_last_seen)
+
+
+def keyed_versions(
+    snapshot: DataFrame, spec: EntitySpec, sk: str, with_last_seen: bool = False
+) -> DataFrame:
+    """``build_versions`` with a dense surrogate key by entity and start.
+
+    The entities are brought together by ranges of their key, so versions come out of the
+    windows in key order and numbering them takes no shuffle of its own.
     """
-    return versions_from_states(_states(snapshot, spec), spec, with_last_seen)
+    built = build_versions(snapshot, spec, with_last_seen, by_range=True)
+    return dense_keys(built, [spec.key, "effective_start_date"], sk, ranged=True)
 
 
 def current_versions(dim: DataFrame) -> DataFrame:

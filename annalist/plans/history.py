@@ -218,8 +218,18 @@ def scd2_as_of_day(spark, sf_dir):
     " employee_id, effective_start_date, hash_diff FROM dim"
 )
 def surrogate_keys(spark, sf_dir):
-    dim = people_versions(spark, sf_dir).select("employee_id", "effective_start_date", "hash_diff")
-    return keys.dense_keys(dim, ["employee_id", "effective_start_date"], "employee_sk")
+    dim = versions.keyed_versions(people_snapshot(spark, sf_dir), PEOPLE_SPEC, "employee_sk")
+    return dim.select("employee_sk", "employee_id", "effective_start_date", "hash_diff")
+
+
+@query(
+    oracle.with_(f"raw AS ({ORDERS.sql()})")
+    + "SELECT row_number() OVER (ORDER BY status, priority, orderkey) AS order_sk, status, priority,"
+    " orderkey FROM raw"
+)
+def dense_keys_by_status(spark, sf_dir):
+    rows = ORDERS.frame(spark, sf_dir).select("status", "priority", "orderkey")
+    return keys.dense_keys(rows, ["status", "priority", "orderkey"], "order_sk")
 
 
 @query(
@@ -282,7 +292,7 @@ def scd2_incremental_latest_day(spark, sf_dir):
     raw = ORDERS.frame(spark, sf_dir)
     history, latest = conform.history_and_latest(raw, "day")
     dim = versions.build_versions(conform.one_row_per_day(history, TWO), TWO, with_last_seen=True)
-    return incremental.apply_batch(dim, latest, TWO, raw)
+    return incremental.apply_batch(materialize(dim, "dimension"), latest, TWO, raw)
 
 
 @query(_GROWN)
@@ -366,10 +376,7 @@ _KEYED = (
     " f.snapshot_date BETWEEN k.effective_start_date AND k.effective_end_date"
 )
 def fact_sk_lookup(spark, sf_dir):
-    dim = people_versions(spark, sf_dir).select(
-        "employee_id", "effective_start_date", "effective_end_date"
-    )
-    dim = keys.dense_keys(dim, ["employee_id", "effective_start_date"], "employee_sk")
+    dim = versions.keyed_versions(people_snapshot(spark, sf_dir), PEOPLE_SPEC, "employee_sk")
     return facts.with_version_key(people_fact(spark, sf_dir), dim, PEOPLE_SPEC, "employee_sk")
 
 
@@ -413,8 +420,9 @@ def date_dim(spark, sf_dir):
     " d.effective_end_date"
 )
 def manager_as_of(spark, sf_dir):
+    edges = materialize(people_edges(spark, sf_dir), "reporting")
     return asof.manager_versions(
-        people_edges(spark, sf_dir), people_versions(spark, sf_dir), "manager_employee_id",
+        edges, people_versions(spark, sf_dir), "manager_employee_id",
         "snapshot_date", "employee_id", ["effective_start_date", "status", "salary_band"],
     )
 
