@@ -115,74 +115,63 @@ def versions_from_states(states: DataFrame, spec: EntitySpec, with_last_seen: bo
     ``_hash`` is given when a row stands for a finished version, whose shown values need not
     reproduce its fingerprint; rows are then compared by it.
 
-    Only rows at which something moved are kept after the first window; everything behind it
-    works on that small remainder.  Under the joined-text test a version may contain rows
-    that differ without changing the text (NULL moved between neighbours).  Such a version
-    shows, for each column, its first non-NULL value; the rows that can contribute one are
-    exactly the kept rows, so collapsing them gives the same values as collapsing all days.
+    One shuffle, one sort, two windows.  Days run backwards, so that what follows a row in
+    time lies in a running frame behind it.  Only rows at which something moved are kept
+    after the first window.  Under the joined-text test a version may contain rows that
+    differ without changing the text (NULL moved between neighbours).  Such a version shows,
+    for each column, its first non-NULL value; the rows that can contribute one are exactly
+    the kept rows.
     """
-    w = _by_day(spec)
-    rows = states.withColumn("_was", F.lag("_now").over(w))
-    if with_last_seen:
-        rows = rows.withColumn("_seen_before", F.lag("_seen").over(w)).withColumn(
-            "_seen_last", F.max("_seen").over(Window.partitionBy(spec.key))
-        )
-    else:
-        rows = rows.drop("_seen")
+    w = Window.partitionBy(spec.key).orderBy(F.col("_day").desc())
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    later = w.rowsBetween(Window.unboundedPreceding, -1)
 
-    carried = ["_seen_before", "_seen_last"] if with_last_seen else []
-    if spec.null_safe:
-        versions = rows.filter(_differs()).select(
-            spec.key,
-            F.col("_day").alias("effective_start_date"),
-            fingerprint(_fields("_now", spec), spec.separator, True).alias("hash_diff"),
-            *[F.col("_now")[c].alias(c) for c in spec.tracked],
-            *carried,
-        )
+    # A stored fingerprint may differ although the shown values are equal.
+    stored = "_hash" in states.columns and not spec.null_safe
+    before = {"_was": F.lead("_now").over(w)}
+    if with_last_seen:
+        before["_seen_before"] = F.lead("_seen").over(w)
+        before["_seen_last"] = F.first("_seen").over(so_far)
+    if stored:
+        before["_hash_was"] = F.lead("_hash").over(w)
+    rows = states.withColumns(before)
+
+    # Rows that equal their predecessor column by column go first, so that texts are only
+    # built for the rest.
+    if stored:
+        hash_moved = ~F.col("_hash").eqNullSafe(F.col("_hash_was"))
+        rows = rows.filter(_differs() | hash_moved).withColumn("_new", hash_moved)
     else:
-        if "_hash" in rows.columns:
-            rows = rows.withColumn("_new", ~F.col("_hash").eqNullSafe(F.lag("_hash").over(w)))
-            digest = F.col("_hash")
-        else:
-            rows = rows.withColumn("_new", _is_new(spec))
-            digest = fingerprint(_fields("_now", spec), spec.separator)
-        kept = rows.filter(F.col("_new") | _differs())
-        running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        numbered = kept.withColumn("_version", F.sum(F.col("_new").cast("int")).over(running))
-        values = [
-            F.min_by(F.col("_now")[c], F.when(F.col("_now")[c].isNotNull(), F.col("_day"))).alias(c)
-            for c in spec.tracked
-        ]
-        seen = [F.min_by(c, "_day").alias(c) for c in carried]
-        versions = (
-            numbered.withColumn("_digest", digest)
-            .groupBy(spec.key, "_version")
-            .agg(
-                F.min("_day").alias("effective_start_date"),
-                F.min_by("_digest", "_day").alias("hash_diff"),
-                *values,
-                *seen,
-            )
-            .drop("_version")
-        )
+        new = F.lit(True) if spec.null_safe else _is_new(spec)
+        rows = rows.filter(_differs()).withColumn("_new", new)
 
-    by_start = Window.partitionBy(spec.key).orderBy("effective_start_date")
-    following = F.lead("effective_start_date").over(by_start)
-    out = versions.withColumn("_next", following)
+    after = {"_next": F.last(F.when(F.col("_new"), F.col("_day")), True).over(later)}
     if with_last_seen:
-        out = out.withColumn("_next_seen", F.lead("_seen_before").over(by_start))
+        after["_next_seen"] = F.last(F.when(F.col("_new"), F.col("_seen_before")), True).over(later)
+    values = {c: F.col("_now")[c] for c in spec.tracked}
+    if not spec.null_safe:
+        # The earliest later value of each column, with its day: it counts only when that day
+        # still belongs to the version.
+        for i, (c, value) in enumerate(values.items()):
+            dated = F.when(value.isNotNull(), F.struct(F.col("_day").alias("d"), value.alias("v")))
+            after[f"_v{i}"] = F.last(dated, True).over(so_far)
+            inside = F.col("_next").isNull() | (F.col(f"_v{i}.d") < F.col("_next"))
+            values[c] = F.when(inside, F.col(f"_v{i}.v"))
+    rows = rows.withColumns(after)
+
+    digest = fingerprint(_fields("_now", spec), spec.separator, spec.null_safe)
     columns = [
         F.col(spec.key),
-        F.col("effective_start_date"),
+        F.col("_day").alias("effective_start_date"),
         F.coalesce(F.date_sub("_next", 1), open_end()).alias("effective_end_date"),
         F.col("_next").isNull().alias("is_current"),
-        F.col("hash_diff"),
-        *[F.col(c) for c in spec.tracked],
+        (F.col("_hash") if stored else digest).alias("hash_diff"),
+        *[v.alias(c) for c, v in values.items()],
     ]
     if with_last_seen:
         seen_to = F.when(F.col("_next").isNull(), F.col("_seen_last")).otherwise(F.col("_next_seen"))
         columns.append(seen_to.alias("last_seen_date"))
-    return out.select(*columns)
+    return rows.filter("_new").select(*columns)
 
 
 def build_versions(
