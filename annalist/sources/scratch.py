@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _written: list[str] = []
 
@@ -40,6 +41,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_counting(df: DataFrame, label: str, condition: str) -> tuple[DataFrame, int]:
+    """``materialize`` that also counts, during the write, the rows satisfying ``condition``."""
+    seen = Observation()
+    written = materialize(df.observe(seen, F.count_if(F.expr(condition)).alias("rows")), label)
+    return written, seen.get["rows"]
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove every scratch table this process wrote."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
