@@ -105,7 +105,21 @@ def search_by_name(dim: DataFrame, name_column: str, text: str) -> DataFrame:
 
 
 def wide_extract(
-    daily: DataFrame, base: DataFrame, key: str, identity: Sequence[str], state: Sequence[str]
+    daily: DataFrame,
+    base: DataFrame,
+    key: str,
+    identity: Sequence[str],
+    state: Sequence[str],
+    one_row_per_day: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Daily state with the identity columns of the entity beside it."""
-    return daily.select(*state).join(base.select(key, *identity), key).select(*state, *identity)
+    """State rows with the identity columns of the entity beside them.
+
+    Hot entities are split unless the state is known to hold one row per entity and day.
+    """
+    left, right = daily.select(*state), base.select(key, *identity)
+    if one_row_per_day:
+        joined = left.join(right, key)
+    else:
+        joined = salted_join(left, right, [key], hot_rows=hot_rows)
+    return joined.select(*state, *identity)

@@ -3,30 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-# A key counts as hot above this share of all rows, so at most 1/HOT_SHARE keys can be hot and
-# the list of them is always small enough to broadcast.
+# A key counts as hot above this share of all rows, so there are never more than MOST_HOT.
 HOT_SHARE = 1 / 1000
+MOST_HOT = 1000
 # Below this many rows a key is never worth splitting.
 HOT_ROWS = 1_000_000
 # No hot key is split further than this, which bounds the copies made of the other side.
 MAX_SPLITS = 256
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys above the threshold with the number of parts each should be split into.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[tuple]:
+    """Keys above the threshold, each followed by the number of parts to split it into.
 
-    Counting is pre-aggregated in the map tasks and reads only the key columns.
+    One pass over the key columns, pre-aggregated in the map tasks.  The driver receives the
+    MOST_HOT most frequent keys, among which are all that can exceed the threshold.
     """
-    present = df.select(*keys).dropna(subset=list(keys))
-    counts = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    limit = F.greatest(total * F.lit(HOT_SHARE), F.lit(hot_rows))
-    parts = F.least(F.ceil(F.col("_n") / limit), F.lit(MAX_SPLITS)).cast("int")
-    return counts.filter(F.col("_n") > limit).select(*keys, parts.alias("_parts"))
+    seen = Observation()
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.observe(seen, F.sum("_n").alias("rows"))
+    top = counts.orderBy(F.col("_n").desc()).limit(MOST_HOT).collect()
+    limit = max((seen.get["rows"] or 0) * HOT_SHARE, hot_rows)
+    return [
+        (*(r[k] for k in keys), min(ceil(r["_n"] / limit), MAX_SPLITS))
+        for r in top
+        if r["_n"] > limit
+    ]
 
 
 def salted_join(
@@ -44,32 +51,37 @@ def salted_join(
     copied to each salt.  NULL keys match nothing and are spread as well.  The right side
     should have few rows per key.  Only join types that keep left rows are supported.
     ``residual`` may use the non-key columns of both sides, whose names must not collide.
+
+    The left keys are counted when the join is built; without a hot key, which is the usual
+    case, this is a plain join.
     """
     if how not in {"inner", "left", "left_semi", "left_anti"}:
         raise ValueError(f"cannot split the left side of a {how} join")
     keys = list(keys)
-    hot = F.broadcast(hot_keys(left, keys, hot_rows))
-    no_key = F.lit(False)
-    for k in keys:
-        no_key = no_key | F.col(k).isNull()
-    spread = F.when(no_key, F.lit(MAX_SPLITS)).otherwise(F.coalesce("_parts", F.lit(1)))
-    lhs = (
-        left.join(hot, keys, "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(*left.columns), spread).cast("int"))
-        .select(*left.columns, "_salt")
-    )
-    rhs = (
-        right.dropna(subset=keys)
-        .join(hot, keys, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
-        .select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns],
-                F.col("_salt").alias("_r_salt"))
-    )
-    on = F.col("_salt") == F.col("_r_salt")
+    rhs = right.dropna(subset=keys).withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = F.lit(True) if residual is None else residual
     for k in keys:
-        on = on & (F.col(k) == F.col(f"_r_{k}"))
-    if residual is not None:
-        on = on & residual
-    joined = lhs.join(rhs, on, how)
+        on = (F.col(k) == F.col(f"_r_{k}")) & on
+
+    hot = hot_keys(left, keys, hot_rows)
+    lhs = left
+    if hot:
+        fields = [*left.select(*keys).schema.fields, StructField("_parts", IntegerType())]
+        listed = F.broadcast(left.sparkSession.createDataFrame(hot, StructType(fields)))
+        no_key = F.lit(False)
+        for k in keys:
+            no_key = no_key | F.col(k).isNull()
+        parts = F.when(no_key, F.lit(MAX_SPLITS)).otherwise(F.coalesce("_parts", F.lit(1)))
+        lhs = (
+            left.join(listed, keys, "left")
+            .withColumn("_salt", F.pmod(F.xxhash64(*left.columns), parts).cast("int"))
+            .select(*left.columns, "_salt")
+        )
+        rhs = rhs.join(
+            listed.withColumnsRenamed({k: f"_r_{k}" for k in keys}), [f"_r_{k}" for k in keys], "left"
+        )
+        copies = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+        rhs = rhs.withColumn("_r_salt", F.explode(copies)).drop("_parts")
+        on = on & (F.col("_salt") == F.col("_r_salt"))
     extra = [] if how in {"left_semi", "left_anti"} else [c for c in right.columns if c not in keys]
-    return joined.select(*left.columns, *extra)
+    return lhs.join(rhs, on, how).select(*left.columns, *extra)

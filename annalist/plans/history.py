@@ -518,7 +518,7 @@ def wide_extract(spark, sf_dir):
     return asof.wide_extract(
         people_snapshot(spark, sf_dir), IDENTITY.frame(spark, sf_dir), "employee_id",
         ["full_name", "work_email", "tax_id"],
-        ["employee_id", "snapshot_date", "status", "org_unit"],
+        ["employee_id", "snapshot_date", "status", "org_unit"], one_row_per_day=True,
     )
 
 
