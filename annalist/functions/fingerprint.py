@@ -12,9 +12,17 @@ DEFAULT_SALT = "employee-scd2-lab-static-salt"
 SALT_CONF = "spark.annalist.salt"
 
 
-def joined_text(columns: Sequence[Column], separator: str = "|") -> Column:
-    """Columns as text joined by ``separator``.  NULLs leave no trace in the text."""
-    return F.concat_ws(separator, *[c.cast("string") for c in columns])
+def joined_text(
+    columns: Sequence[Column], separator: str = "|", missing: str | None = None
+) -> Column:
+    """Columns as text joined by ``separator``.
+
+    NULLs leave no trace in the text unless ``missing`` says what stands for them.
+    """
+    texts = [c.cast("string") for c in columns]
+    if missing is not None:
+        texts = [F.coalesce(t, F.lit(missing)) for t in texts]
+    return F.concat_ws(separator, *texts)
 
 
 def null_safe_text(columns: Sequence[Column]) -> Column:
@@ -23,8 +31,13 @@ def null_safe_text(columns: Sequence[Column]) -> Column:
     return F.to_json(F.struct(*named), {"ignoreNullFields": "false"})
 
 
-def fingerprint(columns: Sequence[Column], separator: str = "|", null_safe: bool = False) -> Column:
-    text = null_safe_text(columns) if null_safe else joined_text(columns, separator)
+def fingerprint(
+    columns: Sequence[Column],
+    separator: str = "|",
+    null_safe: bool = False,
+    missing: str | None = None,
+) -> Column:
+    text = null_safe_text(columns) if null_safe else joined_text(columns, separator, missing)
     return F.sha2(text, 256)
 
 

@@ -61,10 +61,15 @@ POLICY = {
 
 
 def silver_snapshot(raw: DataFrame) -> DataFrame:
-    """Typed and deduplicated; extra columns pass through.  The Bronze load time is kept."""
+    """Typed and deduplicated; extra columns pass through.
+
+    The load time of Bronze is kept, since it decides between conflicting rows; the time of
+    this step is in ``silver_ts``.
+    """
     if "ingest_ts" not in raw.columns:
         raw = raw.withColumn("ingest_ts", F.current_timestamp())
-    return conform.conform_snapshot(raw, SPEC, DATE_COLUMNS, INT_COLUMNS)
+    clean = conform.conform_snapshot(raw, SPEC, DATE_COLUMNS, INT_COLUMNS)
+    return clean.withColumn("silver_ts", F.current_timestamp())
 
 
 def silver_base(snapshot: DataFrame) -> DataFrame:

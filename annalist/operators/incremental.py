@@ -53,7 +53,9 @@ def apply_batch(
 
     # An open version may show values taken from several of its days, so it takes part by
     # its stored fingerprint, not by one computed from what it shows.
-    digest = fingerprint([F.col(c) for c in spec.tracked], spec.separator, spec.null_safe)
+    digest = fingerprint(
+        [F.col(c) for c in spec.tracked], spec.separator, spec.null_safe, spec.missing
+    )
     seeds = dim.filter("is_current").select(
         F.col(spec.key),
         F.col("effective_start_date").alias("_day"),

@@ -47,14 +47,18 @@ def _differs() -> Column:
 def _is_new(spec: EntitySpec) -> Column:
     if spec.null_safe:
         return _differs()
-    now = joined_text(_fields("_now", spec), spec.separator)
-    was = joined_text(_fields("_was", spec), spec.separator)
+    now = joined_text(_fields("_now", spec), spec.separator, spec.missing)
+    was = joined_text(_fields("_was", spec), spec.separator, spec.missing)
     return F.col("_was").isNull() | (now != was)
 
 
+def _digest(columns: Sequence[Column], spec: EntitySpec) -> Column:
+    return fingerprint(columns, spec.separator, spec.null_safe, spec.missing)
+
+
 def with_fingerprint(rows: DataFrame, spec: EntitySpec, name: str = "tracked_hash") -> DataFrame:
     cols = [F.col(c) for c in spec.tracked]
-    return rows.withColumn(name, fingerprint(cols, spec.separator, spec.null_safe))
+    return rows.withColumn(name, _digest(cols, spec))
 
 
 def change_events(snapshot: DataFrame, spec: EntitySpec, with_initial_flag: bool = False) -> DataFrame:
@@ -68,7 +72,7 @@ def change_events(snapshot: DataFrame, spec: EntitySpec, with_initial_flag: bool
         for c in spec.tracked
         for pair in (F.col("_was")[c].alias(f"prev_{c}"), F.col("_now")[c].alias(c))
     ]
-    digest = fingerprint(_fields("_now", spec), spec.separator, spec.null_safe)
+    digest = _digest(_fields("_now", spec), spec)
     extra = [F.col("_was").isNull().alias("is_initial")] if with_initial_flag else []
     return rows.filter(_is_new(spec)).select(
         spec.key, F.col("_day").alias("event_date"), *pairs, digest.alias("tracked_hash"), *extra
@@ -159,7 +163,7 @@ def versions_from_states(states: DataFrame, spec: EntitySpec, with_last_seen: bo
             values[c] = F.when(inside, F.col(f"_v{i}.v"))
     rows = rows.withColumns(after)
 
-    digest = fingerprint(_fields("_now", spec), spec.separator, spec.null_safe)
+    digest = _digest(_fields("_now", spec), spec)
     columns = [
         F.col(spec.key),
         F.col("_day").alias("effective_start_date"),

@@ -187,6 +187,17 @@ def scd2_null_shift(spark, sf_dir):
     return versions.build_versions(orders_snapshot(spark, sf_dir), SHIFT)
 
 
+POSITIONAL = SHIFT.with_(missing="")
+
+
+@query(
+    oracle.with_(ORDERS_SNAP, oracle.versions("dim", "snap", POSITIONAL))
+    + f"SELECT {oracle.version_columns(POSITIONAL)} FROM dim"
+)
+def scd2_positional(spark, sf_dir):
+    return versions.build_versions(orders_snapshot(spark, sf_dir), POSITIONAL)
+
+
 @query(
     oracle.with_(EVENTS_SNAP, oracle.versions("dim", "snap", EVENTS_SPEC))
     + f"SELECT {oracle.version_columns(EVENTS_SPEC, last_seen=True)} FROM dim"

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from annalist.plans.inputs import Feed
 from annalist.spec import EntitySpec
 
@@ -21,12 +19,11 @@ def snapshot(name: str, feed: Feed, spec: EntitySpec) -> str:
     )
 
 
-def _text(tracked: Sequence[str]) -> str:
-    return ", ".join(f"CAST({c} AS VARCHAR)" for c in tracked)
-
-
 def digest(spec: EntitySpec) -> str:
-    return f"sha256(concat_ws('|', {_text(spec.tracked)}))"
+    texts = [f"CAST({c} AS VARCHAR)" for c in spec.tracked]
+    if spec.missing is not None:
+        texts = [f"coalesce({t}, '{spec.missing}')" for t in texts]
+    return f"sha256(concat_ws('|', {', '.join(texts)}))"
 
 
 def events(name: str, source: str, spec: EntitySpec) -> str:

@@ -20,8 +20,9 @@ class EntitySpec:
     make the order total, otherwise the winner is arbitrary.
 
     ``null_safe`` selects the change test.  Off: rows are compared by the text of their
-    tracked columns joined with ``separator``, which skips NULLs.  On: rows are compared
-    column by column with NULL as an ordinary value.
+    tracked columns joined with ``separator``, which skips NULLs unless ``missing`` gives the
+    text that stands for them.  On: rows are compared column by column with NULL as an
+    ordinary value.
     """
 
     key: str
@@ -30,6 +31,7 @@ class EntitySpec:
     tie_break: tuple[str, ...] = ()
     separator: str = "|"
     null_safe: bool = False
+    missing: str | None = None
 
     def tie_order(self) -> list[Column]:
         return [
