@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from annalist.functions.fingerprint import fingerprint
 from annalist.operators.conform import one_row_per_day
 from annalist.operators.versions import build_versions, versions_from_states
+from annalist.sources.scratch import materialize_counting
 from annalist.spec import EntitySpec
 
+# Up to this many late entities their list is broadcast (some tens of megabytes at most).
+BROADCAST_KEYS = 200_000
+
 
 def late_keys(dim: DataFrame, batch: DataFrame, spec: EntitySpec) -> DataFrame:
     """Entities for which the batch holds a day on or before the last day already seen.
@@ -38,17 +42,19 @@ def apply_batch(
     ``dim`` must carry ``last_seen_date``.  Entities whose new days all follow the last day
     seen are extended: their open version becomes a seed row in front of the new days.
     Entities with late days or corrections are rebuilt from ``history``, the snapshots
-    including the batch.  Closed versions of the others pass through untouched and unshuffled
-    as long as the list of late entities is small enough for Spark to broadcast.
+    including the batch.  Closed versions of the others pass through untouched.
 
-    Without ``history`` the batch must contain no late entity; this is checked first.
+    The late entities are listed first, by one small job.  Without any, which is the usual
+    case, the history is not read and closed versions are not joined with anything.  A short
+    list is broadcast, so that neither of them is shuffled.  Without ``history`` the batch
+    must contain no late entity.
     """
     if "last_seen_date" not in dim.columns:
         raise ValueError("the dimension needs last_seen_date to be maintained incrementally")
     columns = dim.columns
     batch = one_row_per_day(batch, spec)
-    late = late_keys(dim, batch, spec)
-    if history is None and not late.isEmpty():
+    late, count = materialize_counting(late_keys(dim, batch, spec), "late", "true")
+    if count and history is None:
         raise ValueError("the batch has late entities; pass the snapshot history to rebuild them")
 
     # An open version may show values taken from several of its days, so it takes part by
@@ -71,11 +77,14 @@ def apply_batch(
         digest.alias("_hash"),
     )
     closed = dim.filter(~F.col("is_current"))
-    if history is None:
-        extended = versions_from_states(seeds.unionByName(fresh), spec, with_last_seen=True)
+    states = seeds.unionByName(fresh)
+    if not count:
+        extended = versions_from_states(states, spec, with_last_seen=True)
         return closed.unionByName(extended).select(*columns)
 
-    on_time = seeds.unionByName(fresh).join(late, spec.key, "left_anti")
+    if count <= BROADCAST_KEYS:
+        late = F.broadcast(late)
+    on_time = states.join(late, spec.key, "left_anti")
     extended = versions_from_states(on_time, spec, with_last_seen=True)
     rebuilt = build_versions(
         one_row_per_day(history.join(late, spec.key, "left_semi"), spec), spec, with_last_seen=True

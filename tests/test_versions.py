@@ -199,6 +199,17 @@ def test_late_batch_without_history_is_refused(spark):
         incremental.apply_batch(dim, snap(spark, [("A", 3, "z", "y")]), SPEC)
 
 
+def test_batch_on_time_does_not_read_the_history(spark, tmp_path):
+    first, second = [("A", 1, "x", "y")], [("A", 2, "z", "y"), ("B", 2, "x", "y")]
+    dim = versions.build_versions(snap(spark, first), SPEC, with_last_seen=True)
+    snap(spark, first + second).write.parquet(str(tmp_path / "history"))
+    history = spark.read.parquet(str(tmp_path / "history"))
+    grown = incremental.apply_batch(dim, snap(spark, second), SPEC, history)
+    assert "FileScan" not in grown._jdf.queryExecution().executedPlan().toString()
+    full = versions.build_versions(history, SPEC, with_last_seen=True)
+    assert sorted(map(tuple, grown.collect())) == sorted(map(tuple, full.collect()))
+
+
 def test_same_day_correction_replaces_the_version(spark):
     old = snap(spark, [("A", 1, "x", "y"), ("A", 5, "bad", "y")])
     fix = snap(spark, [("A", 5, "x", "y")]).withColumn("ts", F.lit(9))
