@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annalist.llm import line_dedup, mixing, pii, quality, sharding, winnowing
+from annalist.llm import line_dedup, mixing, near_vectors, pii, quality, sharding, winnowing
 from annalist.llm.tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_personal_data": lambda spark, sf_dir: pii.find_personal_data(documents(spark, sf_dir)),
     "op5_sharding": lambda spark, sf_dir: sharding.sharded(documents(spark, sf_dir)),
     "op6_line_dedup": lambda spark, sf_dir: line_dedup.line_counts(documents(spark, sf_dir)),
+    "op7_near_vectors": lambda spark, sf_dir: near_vectors.near_vectors(table(spark, sf_dir, "embeddings")),
     "op8_quality": lambda spark, sf_dir: quality.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels")),
     "op9_mixing": lambda spark, sf_dir: mixing.mixed(documents(spark, sf_dir)),
     "op10_winnowing": lambda spark, sf_dir: winnowing.fingerprints(documents(spark, sf_dir)),
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op5_sharding": sharding.ORACLE,
     "op6_line_dedup": line_dedup.ORACLE,
+    "op7_near_vectors": near_vectors.ORACLE,
     "op9_mixing": mixing.ORACLE,
     "op10_winnowing": winnowing.ORACLE,
 }
