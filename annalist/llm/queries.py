@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annalist.llm import line_dedup, mixing, near_vectors, pii, quality, sharding, winnowing
+from annalist.llm import line_dedup, mixing, near_vectors, ngram_join, pii, quality, sharding, winnowing
 from annalist.llm.tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_personal_data": lambda spark, sf_dir: pii.find_personal_data(documents(spark, sf_dir)),
+    "op4_ngram_join": lambda spark, sf_dir: ngram_join.similar_documents(documents(spark, sf_dir)),
     "op5_sharding": lambda spark, sf_dir: sharding.sharded(documents(spark, sf_dir)),
     "op6_line_dedup": lambda spark, sf_dir: line_dedup.line_counts(documents(spark, sf_dir)),
     "op7_near_vectors": lambda spark, sf_dir: near_vectors.near_vectors(table(spark, sf_dir, "embeddings")),
