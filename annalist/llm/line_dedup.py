@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annalist.llm.minimal_hash import MinimalHash, build
@@ -145,9 +145,11 @@ def cleaned(text: bytes | None, drop: list[int] | None) -> tuple[int, int, bytes
     return len(lines), len(lines) - len(kept), b"\n".join(kept)
 
 
-def _with_drops(docs: DataFrame) -> DataFrame:
+def _with_drops(docs: DataFrame, *carried: Column) -> DataFrame:
+    """text as bytes and drop beside ``carried``, which no column of ``docs`` can clash with."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("at"), F.col("text").cast("binary").alias("text"), *carried)
     drops = dropped_lines(docs).withColumnRenamed("doc_id", "dropped_from")
-    return docs.join(drops, docs["doc_id"].cast("long").eqNullSafe(drops["dropped_from"]), "left").drop("dropped_from")
+    return rows.join(drops, rows["at"].eqNullSafe(drops["dropped_from"]), "left").select("text", "drop", *[c for c in rows.columns if c not in ("at", "text")])
 
 
 def line_counts(docs: DataFrame) -> DataFrame:
@@ -162,8 +164,7 @@ def line_counts(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "n_lines", "n_dropped", "kept_sha256"],
             )
 
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return _with_drops(docs).mapInArrow(done, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+    return _with_drops(docs, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(done, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
@@ -172,12 +173,13 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
 
     def done(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            texts = [t if t is None else cleaned(t, d)[2] for t, d in zip(texts, batch.column("drop").to_pylist(), strict=True)]
-            arrays = [pa.array(texts, pa.binary()).cast(pa.string()) if c == "text" else batch.column(c) for c in columns]
+            texts = [t if t is None else cleaned(t, d)[2] for t, d in zip(batch.column("text").to_pylist(), batch.column("drop").to_pylist(), strict=True)]
+            rest = batch.column("rest")
+            arrays = [pa.array(texts, pa.binary()).cast(pa.string()) if c == "text" else rest.field(c) for c in columns]
             yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    out = _with_drops(docs).mapInArrow(done, schema)
+    rest = F.struct(*[F.col(c) for c in columns if c != "text"]).alias("rest")
+    out = _with_drops(docs, rest).mapInArrow(done, schema)
     return out.withColumn("n_chars", F.char_length("text").cast(schema["n_chars"].dataType)) if "n_chars" in columns else out
 
 

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from annalist.llm.trie import DoubleArray
 
@@ -259,7 +260,12 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary | None = None) -> D
                     names=[*part.schema.names, "pieces", "n_pieces", "restored"],
                 )
 
-    schema = docs.schema.add("pieces", "array<int>").add("n_pieces", "long").add("restored", "boolean")
+    schema = StructType([
+        *docs.schema.fields,
+        StructField("pieces", ArrayType(IntegerType())),
+        StructField("n_pieces", LongType()),
+        StructField("restored", BooleanType()),
+    ])
     return docs.mapInArrow(done, schema)
 
 
@@ -274,7 +280,7 @@ def decode_documents(docs: DataFrame, vocabulary: Vocabulary | None = None) -> D
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "text"])
 
     rows = docs.select(*rest)
-    return rows.mapInArrow(done, rows.schema.add("text", "string"))
+    return rows.mapInArrow(done, StructType([*rows.schema.fields, StructField("text", StringType())]))
 
 
 def encoded(docs: DataFrame) -> DataFrame:

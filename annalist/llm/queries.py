@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annalist.llm import line_dedup, mixing, near_vectors, ngram_join, pieces, pii, quality, sharding, winnowing
+from annalist.llm import license_scan, line_dedup, mixing, near_vectors, ngram_join, pieces, pii, quality, sharding, winnowing
 from annalist.llm.tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": lambda spark, sf_dir: license_scan.scan_documents(documents(spark, sf_dir)),
     "op2_pieces": lambda spark, sf_dir: pieces.encoded(documents(spark, sf_dir)),
     "op3_personal_data": lambda spark, sf_dir: pii.find_personal_data(documents(spark, sf_dir)),
     "op4_ngram_join": lambda spark, sf_dir: ngram_join.similar_documents(documents(spark, sf_dir)),

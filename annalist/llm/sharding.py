@@ -107,6 +107,7 @@ def write_shards(docs: DataFrame, shards: DataFrame, path: str) -> None:
 
     Each shard is one task's file, and none exceeds the limit but an oversize document.
     """
+    docs = docs.select(*[F.col(c) for c in docs.columns if c != "shard"])
     placed = docs.join(shards.select("doc_id", "shard"), "doc_id")
     placed.repartition("shard").write.partitionBy("shard").parquet(path)
 
