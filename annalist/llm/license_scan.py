@@ -4,7 +4,8 @@ Words are runs of ASCII letters and digits, lower-cased. Of each template the ha
 a row are winnowed with windows of ``WINDOW`` and put into an inverted index. A document looks up all
 its runs: any ``GRAM + WINDOW - 1`` words it shares with a template contain a fingerprint. Hits of one
 template that lie on about the same diagonal are one candidate, and the words around it are aligned
-with the template (local alignment, ``BAND`` words to either side of the diagonal). A finding is
+with the template (local alignment, a quarter of the template's length but at most ``BAND`` words to
+either side of the diagonal). A finding is
 reported when the aligned words cover at least ``COVERAGE`` of the template; of findings of one template
 that overlap, the one of higher coverage, then the earlier, stays.
 
@@ -39,6 +40,11 @@ def words_of(text: bytes) -> list[bytes]:
     return _WORD.findall(text.lower())
 
 
+def band_of(template: np.ndarray) -> int:
+    """Narrow for short templates, so that copies that follow one another stay apart."""
+    return max(2, min(BAND, len(template) // 4))
+
+
 def _stir(x: np.ndarray) -> np.ndarray:
     x = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return x ^ (x >> np.uint64(29))
@@ -102,7 +108,7 @@ class Index:
             for t, template_at in self.postings[key]:
                 diagonal = place - template_at
                 before = last.get(t)
-                if before is None or abs(diagonal - before[0]) > BAND // 2 or place - before[1] > len(self.words[t]) + BAND:
+                if before is None or abs(diagonal - before[0]) > band_of(self.words[t]) // 2 or place - before[1] > 2 * len(self.words[t]):
                     out.append((t, diagonal, place))
                     last[t] = (diagonal, place)
                 else:
@@ -112,10 +118,11 @@ class Index:
 
 def align(template: np.ndarray, words: np.ndarray, diagonal: int) -> tuple[int, int, int, int, int]:
     """Best local alignment within the band: (matches, template from, to, words from, to); ends exclusive."""
-    m, width = len(template), 2 * BAND + 1
+    m, band = len(template), band_of(template)
+    width = 2 * band + 1
     score = np.zeros((m + 1, width + 2), np.int32)
     across = np.arange(width) * -GAP
-    place = np.arange(width) - BAND + diagonal
+    place = np.arange(width) - band + diagonal
     for i in range(1, m + 1):
         j = place + i - 1
         inside = (j >= 0) & (j < len(words))

@@ -4,13 +4,16 @@ The patterns (`base_spans`) find e-mail addresses, IP addresses, payment cards a
 The field labels words. A node is a word with a digit or an ``@`` or a neighbour of one; any other
 word is O. Neighbouring nodes are linked, and so are distant words of one document that are equal or
 similar (same digits whatever stands between them; an address and its part before the ``@``), each
-with the next of its kind, so a document has no more skip links than words. Loopy message passing
+with the next of its kind, so a document has no more skip links than words; keys of fewer than ``KEY``
+characters say too little and link nothing. Loopy message passing
 over both kinds of links makes the labels of repeated words agree: a bare number that stands
 elsewhere in full is marked here, too.
 
 Training is piecewise and needs no sample: the patterns label the words of all documents, and the
 potentials are smoothed log ratios of counts - of a word's shape with its label, of labels side by
-side, of labels across a skip link. Counts are summed per batch and then by Spark; the table of
+side, of labels across a skip link. A word that no pattern labels though its like is labelled elsewhere
+in the document has an unknown label and is not counted, so a missed repetition does not teach that
+repetitions differ. Counts are summed per batch and then by Spark; the table of
 shapes keeps the ``SHAPES`` most frequent ones (a bound on the model, rarer shapes share one entry).
 Words inside pattern spans are held at their label; other words get a span when a label other than O
 has at least ``SURE`` probability and no pattern span of that kind is touched.
@@ -38,6 +41,7 @@ SHAPES = 20_000
 SURE = 0.9
 ROUNDS = 12
 DAMPING = 0.5
+KEY = 4
 HELD = 8.0
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -143,8 +147,11 @@ class Graph:
         last: dict[str, int] = {}
         self.skip = []
         marked_at = set(marked)
-        for n, w in enumerate(words_at):
-            if places[n] not in marked_at or not (key := likeness_key(w)):
+        keys = [likeness_key(w) if places[n] in marked_at else "" for n, w in enumerate(words_at)]
+        labelled = {k for k, label in zip(keys, self.held, strict=True) if label and len(k) >= KEY}
+        self.unknown = [not label and k in labelled for k, label in zip(keys, self.held, strict=True)]
+        for n, key in enumerate(keys):
+            if len(key) < KEY:
                 continue
             if key in last:
                 self.skip.append((last[key], n))
@@ -158,9 +165,9 @@ def count(texts: list[str | None]) -> Counter:
         if not text:
             continue
         g = Graph(text, base_spans(text))
-        out.update(("e", s, str(k)) for s, k in zip(g.shapes, g.held, strict=True))
-        out.update(("c", str(g.held[a]), str(g.held[b])) for a, b in g.chain)
-        out.update(("s", str(g.held[a]), str(g.held[b])) for a, b in g.skip)
+        out.update(("e", s, str(k)) for s, k, u in zip(g.shapes, g.held, g.unknown, strict=True) if not u)
+        for kind, links in (("c", g.chain), ("s", g.skip)):
+            out.update((kind, str(g.held[a]), str(g.held[b])) for a, b in links if not (g.unknown[a] or g.unknown[b]))
     return out
 
 
