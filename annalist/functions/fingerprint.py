@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The salt every published token is built with unless the session sets another.
-DEFAULT_SALT = "employee-scd2-lab-static-salt"
 SALT_CONF = "spark.annalist.salt"
 
 
@@ -42,10 +40,14 @@ def fingerprint(
 
 
 def configured_salt(spark) -> str:
-    return spark.conf.get(SALT_CONF, DEFAULT_SALT)
+    """The session's secret salt; tokens of a known salt could be looked up in a dictionary."""
+    salt = spark.conf.get(SALT_CONF, None)
+    if not salt:
+        raise RuntimeError(f"set {SALT_CONF} to a secret text before building tokens")
+    return salt
 
 
-def stable_token(c: Column | str, salt: str = DEFAULT_SALT) -> Column:
+def stable_token(c: Column | str, salt: str) -> Column:
     """Salted SHA-256 of a value; a missing value is tokenised as the empty text."""
     value = F.col(c) if isinstance(c, str) else c
     return F.sha2(F.concat_ws("|", F.lit(salt), F.coalesce(value.cast("string"), F.lit(""))), 256)

@@ -90,10 +90,10 @@ def orphan_managers(edges: DataFrame, key: str, manager: str, date: str) -> Data
 def with_dimension(fact: DataFrame, static_dim: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Star join: attributes of the one-row-per-entity dimension flow to a daily fact.
 
-    No broadcast is forced, since the dimension grows with the number of entities; Spark
+    A fact without a dimension row stays, with NULL attributes.  No broadcast is forced, since the dimension grows with the number of entities; Spark
     broadcasts it when its measured size allows.
     """
-    return fact.join(static_dim.select(key, *columns), key)
+    return fact.join(static_dim.select(key, *columns), key, "left").select(*fact.columns, *columns)
 
 
 def rows_of_selected(fact: DataFrame, selected: DataFrame, key: str) -> DataFrame:
@@ -113,13 +113,13 @@ def wide_extract(
     one_row_per_day: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """State rows with the identity columns of the entity beside them.
+    """State rows with the identity columns of the entity beside them, NULL where it is unknown.
 
     Hot entities are split unless the state is known to hold one row per entity and day.
     """
     left, right = daily.select(*state), base.select(key, *identity)
     if one_row_per_day:
-        joined = left.join(right, key)
+        joined = left.join(right, key, "left")
     else:
-        joined = salted_join(left, right, [key], hot_rows=hot_rows)
+        joined = salted_join(left, right, [key], "left", hot_rows=hot_rows)
     return joined.select(*state, *identity)

@@ -28,28 +28,34 @@ def active_headcount(fact: DataFrame, by: Sequence[str]) -> DataFrame:
     return fact.groupBy(*by).agg(F.sum(FLAG).alias("active_headcount"))
 
 
-def count_on_latest_day(fact: DataFrame, date: str, condition: Column, name: str) -> DataFrame:
+def count_on_latest_day(
+    fact: DataFrame, date: str, condition: Column, name: str, by: Sequence[str] = ()
+) -> DataFrame:
     """Rows that satisfy ``condition`` on the latest day of the (already filtered) fact.
 
-    Counts per day first and then takes the latest day's count: one scan, no second look at
-    the fact for its last date.
+    With ``by``, on the latest day of each group.  Counts per day first and then takes the latest
+    day's count: one scan, no second look at the fact for its last date.
     """
-    per_day = fact.groupBy(date).agg(F.count_if(condition).alias("_n"))
-    return per_day.agg(F.max(date).alias(date), F.max_by("_n", date).alias(name))
+    per_day = fact.groupBy(*by, date).agg(F.count_if(condition).alias("_n"))
+    return per_day.groupBy(*by).agg(F.max(date).alias(date), F.max_by("_n", date).alias(name))
 
 
-def terminations(events: DataFrame, status: str = "status", gone: str = "terminated") -> DataFrame:
+def terminations(
+    events: DataFrame, status: str = "status", gone: str = "terminated", by: Sequence[Column | str] = ()
+) -> DataFrame:
     """Transitions into ``gone``; a first day on which someone is already gone is not one."""
     left = (F.col(status) == gone) & _moved(status) & ~F.col("is_initial")
-    return events.agg(F.count_if(left).alias("total_terminations"))
+    return events.groupBy(*by).agg(F.count_if(left).alias("total_terminations"))
 
 
-def internal_moves(events: DataFrame, columns: Sequence[str], count_initial: bool = False) -> DataFrame:
+def internal_moves(
+    events: DataFrame, columns: Sequence[str], count_initial: bool = False, by: Sequence[Column | str] = ()
+) -> DataFrame:
     """Events that changed any of ``columns``; first days count only on request."""
     moved = _moved(*columns)
     if not count_initial:
         moved = moved & ~F.col("is_initial")
-    return events.agg(F.count_if(moved).alias("internal_moves"))
+    return events.groupBy(*by).agg(F.count_if(moved).alias("internal_moves"))
 
 
 def headcount_by_month(fact: DataFrame, date: str, by: Sequence[str], method: str = "last") -> DataFrame:
@@ -198,7 +204,7 @@ def workforce_mix(fact: DataFrame, by: Sequence[str], dimensions: Sequence[str])
 def career_timeline(
     dim: DataFrame, names: DataFrame, key: str, name: str, role: str, unit: str
 ) -> DataFrame:
-    """The history of each entity as one text, oldest version first.
+    """The history of each entity as one text, oldest version first; a missing name is empty.
 
     A version list is no longer than the calendar, so one text per entity is bounded.
     """
@@ -215,7 +221,7 @@ def career_timeline(
     )
     body = F.array_join(F.col("_e.t"), "\n\n")
     head = F.concat(F.lit("Career History for "), F.coalesce(F.col(name), F.lit("")), F.lit(":\n\n"))
-    return lines.join(names.select(key, name), key).select(
+    return lines.join(names.select(key, name), key, "left").select(
         key, F.concat(head, body).alias("history")
     )
 

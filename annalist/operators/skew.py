@@ -3,37 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
-
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
-# A key counts as hot above this share of all rows, so there are never more than MOST_HOT.
-HOT_SHARE = 1 / 1000
-MOST_HOT = 1000
-# Below this many rows a key is never worth splitting.
+from annalist.sources.scratch import materialize
+
+# A key with more rows than this is split into parts of about so many, however large the table is.
 HOT_ROWS = 1_000_000
-# No hot key is split further than this, which bounds the copies made of the other side.
-MAX_SPLITS = 256
+NULL_PARTS = 1024
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[tuple]:
-    """Keys above the threshold, each followed by the number of parts to split it into.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, each with ``_parts``, the number of parts to split it into.
 
-    One pass over the key columns, pre-aggregated in the map tasks.  The driver receives the
-    MOST_HOT most frequent keys, among which are all that can exceed the threshold.
+    One pass over the key columns, pre-aggregated in the map tasks. The list stays a table: it has
+    less than one row for ``hot_rows`` rows of ``df``.
     """
-    seen = Observation()
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.observe(seen, F.sum("_n").alias("rows"))
-    top = counts.orderBy(F.col("_n").desc()).limit(MOST_HOT).collect()
-    limit = max((seen.get["rows"] or 0) * HOT_SHARE, hot_rows)
-    return [
-        (*(r[k] for k in keys), min(ceil(r["_n"] / limit), MAX_SPLITS))
-        for r in top
-        if r["_n"] > limit
-    ]
+    parts = F.ceil(F.col("_n") / hot_rows).cast("int").alias("_parts")
+    return materialize(counts.where(F.col("_n") > hot_rows).select(*keys, parts), "hot-keys")
 
 
 def salted_join(
@@ -48,12 +36,13 @@ def salted_join(
 
     Rows of a hot key are spread over several salts by a hash of their content (repeatable, so
     a lost task recomputes the same rows) and the few matching rows of the right side are
-    copied to each salt.  NULL keys match nothing and are spread as well.  The right side
-    should have few rows per key.  Only join types that keep left rows are supported.
-    ``residual`` may use the non-key columns of both sides, whose names must not collide.
+    copied to each salt.  Equal rows share a part, so many equal rows of a key should be reduced
+    before.  NULL keys match nothing and are spread as well.  The right side should have few rows
+    per key.  Only join types that keep left rows are supported.  ``residual`` may use the non-key
+    columns of both sides, whose names must not collide.
 
     The left keys are counted when the join is built; without a hot key, which is the usual
-    case, this is a plain join.
+    case, this is a plain join.  Whether the list of hot keys is broadcast is left to Spark.
     """
     if how not in {"inner", "left", "left_semi", "left_anti"}:
         raise ValueError(f"cannot split the left side of a {how} join")
@@ -63,15 +52,14 @@ def salted_join(
     for k in keys:
         on = (F.col(k) == F.col(f"_r_{k}")) & on
 
-    hot = hot_keys(left, keys, hot_rows)
+    listed = hot_keys(left, keys, hot_rows)
     lhs = left
-    if hot:
-        fields = [*left.select(*keys).schema.fields, StructField("_parts", IntegerType())]
-        listed = F.broadcast(left.sparkSession.createDataFrame(hot, StructType(fields)))
+    if not listed.isEmpty():
         no_key = F.lit(False)
         for k in keys:
             no_key = no_key | F.col(k).isNull()
-        parts = F.when(no_key, F.lit(MAX_SPLITS)).otherwise(F.coalesce("_parts", F.lit(1)))
+        # NULL keys join nothing, so they may go anywhere: their salts need no copies on the right.
+        parts = F.when(no_key, F.lit(NULL_PARTS)).otherwise(F.coalesce("_parts", F.lit(1)))
         lhs = (
             left.join(listed, keys, "left")
             .withColumn("_salt", F.pmod(F.xxhash64(*left.columns), parts).cast("int"))

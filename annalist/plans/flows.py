@@ -13,7 +13,7 @@ from annalist.plans import inputs, jobs, oracle
 from annalist.plans.inputs import EVENTS, EVENTS_SPEC, IDENTITY, PEOPLE, PEOPLE_STATE
 from annalist.plans.registry import query
 from annalist.sources import readers, tables
-from annalist.sources.scratch import scratch_path
+from annalist.sources.scratch import scratch_path, scratch_tables
 from annalist.streaming import ingest
 from annalist.streaming.history import VersionedHistory, maintain_history
 
@@ -64,7 +64,7 @@ def _extract_files(spark, sf_dir) -> str:
 
 def _layout(spark, buckets: int = 4) -> jobs.Layout:
     """Tables of one run, under names no other run uses."""
-    prefix = f"run_{uuid.uuid4().hex}_"
+    prefix = scratch_tables(f"run_{uuid.uuid4().hex}_")
     return jobs.Layout(location=scratch_path(spark, "tables"), prefix=prefix, buckets=buckets)
 
 
@@ -77,12 +77,91 @@ def _landed(spark, sf_dir) -> jobs.Layout:
 _TEXT_COLUMNS = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in hr.RAW_COLUMNS)
 
 
-@query(oracle.with_(_EXTRACT_SQL) + f"SELECT {_TEXT_COLUMNS} FROM extract")
+_EXTRACT_ROWS = oracle.with_(_EXTRACT_SQL) + f"SELECT {_TEXT_COLUMNS} FROM extract"
+
+
+@query(_EXTRACT_ROWS)
 def csv_round_trip(spark, sf_dir):
     raw = readers.read_raw(spark, _extract_files(spark, sf_dir), hr.RAW_COLUMNS, "auto")
     return raw.select(*hr.RAW_COLUMNS)
 
 
+@query(_EXTRACT_ROWS)
+def csv_folder_glob(spark, sf_dir):
+    files = f"{_extract_files(spark, sf_dir)}/*.csv"
+    return readers.read_raw(spark, files, hr.RAW_COLUMNS, "csv").select(*hr.RAW_COLUMNS)
+
+
+@query(_EXTRACT_ROWS)
+def csv_bom(spark, sf_dir):
+    """Every file begins with a byte order mark."""
+    folder, first = scratch_path(spark, "extract"), hr.RAW_COLUMNS[0]
+    marked = _extract(spark, sf_dir).withColumnRenamed(first, readers.BOM + first)
+    tables.write_csv(marked, folder, [readers.BOM + first, *hr.RAW_COLUMNS[1:]])
+    return readers.read_raw(spark, folder, hr.RAW_COLUMNS, "csv").select(*hr.RAW_COLUMNS)
+
+
+@query(
+    oracle.with_(_EXTRACT_SQL)
+    + f"SELECT {_TEXT_COLUMNS}, CASE WHEN status = 'active' THEN 'more' END AS extra FROM extract"
+)
+def csv_mixed_headers(spark, sf_dir):
+    """Files of one delivery whose headers differ in order and by an extra column."""
+    root, rows = scratch_path(spark, "extract"), _extract(spark, sf_dir)
+    active = rows.where("status = 'active'").withColumn("extra", F.lit("more"))
+    tables.write_csv(active, f"{root}/a", [*hr.RAW_COLUMNS[::-1], "extra"])
+    tables.write_csv(rows.where("status <> 'active'"), f"{root}/b", hr.RAW_COLUMNS)
+    return readers.read_raw(spark, f"{root}/*", hr.RAW_COLUMNS, "csv").select(*hr.RAW_COLUMNS, "extra")
+
+
+def _extract_text(spark, sf_dir) -> DataFrame:
+    """The extract as text with empty values missing, as CSV delivers it."""
+    return _extract(spark, sf_dir).selectExpr(
+        *[f"nullif(CAST({c} AS STRING), '') AS {c}" for c in hr.RAW_COLUMNS]
+    )
+
+
+@query(_EXTRACT_ROWS)
+def parquet_scan(spark, sf_dir):
+    folder = scratch_path(spark, "extract")
+    _extract_text(spark, sf_dir).write.parquet(folder)
+    return readers.read_raw(spark, folder, hr.RAW_COLUMNS).select(*hr.RAW_COLUMNS)
+
+
+@query(_EXTRACT_ROWS)
+def append_sink(spark, sf_dir):
+    """Two deliveries appended to one Bronze table."""
+    layout, rows = _layout(spark), _extract_text(spark, sf_dir)
+    for part in ("status = 'active'", "status <> 'active'"):
+        layout.write(rows.where(part), "bronze", mode="append")
+    return layout.read(spark, "bronze")
+
+
+@query(_EXTRACT_ROWS)
+def bronze_register(spark, sf_dir):
+    layout = _layout(spark)
+    jobs.bronze_job(spark, _extract_files(spark, sf_dir), layout, mode="register")
+    return layout.read(spark, "bronze").select(*hr.RAW_COLUMNS)
+
+
+@query(
+    oracle.with_(_EXTRACT_SQL)
+    + "SELECT employee_id, count(*) AS bronze_rows, count(DISTINCT snapshot_date) AS silver_rows,"
+    " true AS from_files, true AS stamped FROM extract GROUP BY employee_id"
+)
+def load_stamps(spark, sf_dir):
+    """Load columns of Bronze, and the time of the Silver step beside the kept time of the load."""
+    folder, layout = _extract_files(spark, sf_dir), _layout(spark)
+    jobs.bronze_job(spark, folder, layout)
+    bronze = layout.read(spark, "bronze")
+    here = F.contains("source_file", F.lit(folder.rsplit("/", 1)[-1]))
+    loaded = bronze.groupBy("employee_id").agg(F.count("ingest_ts").alias("bronze_rows"), F.every(here).alias("from_files"))
+    silver = hr.silver_snapshot(bronze).groupBy("employee_id").agg(
+        F.count(F.lit(1)).alias("silver_rows"), F.every(F.col("silver_ts") >= F.col("ingest_ts")).alias("stamped")
+    )
+    return loaded.join(silver, "employee_id").select("employee_id", "bronze_rows", "silver_rows", "from_files", "stamped")
+
+
 _SPEC = hr.SPEC
 _VERSIONS = oracle.versions("dim", "snap", _SPEC)
 _VERSION_LIST = oracle.version_columns(_SPEC)
@@ -151,21 +230,36 @@ _EVENTS_SNAP = oracle.snapshot("snap", EVENTS, EVENTS_SPEC)
 _EVENTS_SCHEMA = "user_id bigint, day date, ts timestamp_ntz, event_id bigint, event_type string"
 
 
-@query(
-    oracle.with_(f"raw AS ({EVENTS.sql()})")
-    + "SELECT user_id, day, event_id, event_type FROM raw"
-)
-def stream_drop_redelivered(spark, sf_dir):
+_EVENT_COLUMNS = ["user_id", "day", "event_id", "event_type"]
+_EVENT_ROWS = oracle.with_(f"raw AS ({EVENTS.sql()})") + f"SELECT {', '.join(_EVENT_COLUMNS)} FROM raw"
+
+
+def _ingested(spark, folder: str, files_per_batch: int) -> DataFrame:
     stream = ingest.arriving_files(
-        spark, _arrivals(spark, sf_dir), _EVENTS_SCHEMA, "parquet", files_per_batch=2
+        spark, folder, _EVENTS_SCHEMA, "parquet", files_per_batch=files_per_batch
     )
-    fresh = ingest.drop_redelivered(stream, ["user_id", "day", "event_id"], "ts", "3650 days")
-    target = scratch_path(spark, "ingested")
-    run = ingest.ingest_available(fresh, target, scratch_path(spark, "checkpoint"))
-    run.awaitTermination()
-    if ingest.late_rows_dropped(run):
-        raise RuntimeError("rows arrived later than the stream remembers")
-    return spark.read.parquet(target).select("user_id", "day", "event_id", "event_type")
+    target, checkpoint = scratch_path(spark, "ingested"), scratch_path(spark, "checkpoint")
+    ingest.ingest_fresh(stream, target, checkpoint, ["user_id", "day", "event_id"], "day").awaitTermination()
+    return ingest.stored_rows(spark, target).select(*_EVENT_COLUMNS)
+
+
+@query(_EVENT_ROWS)
+def stream_drop_redelivered(spark, sf_dir):
+    return _ingested(spark, _arrivals(spark, sf_dir), files_per_batch=2)
+
+
+@query(_EVENT_ROWS)
+def stream_drop_redelivered_late(spark, sf_dir):
+    """Every delivery is older than all before it, and the first one comes again at the end."""
+    folder = scratch_path(spark, "arrivals")
+    events = EVENTS.frame(spark, sf_dir)
+    first, last = events.agg(F.min("ts").cast("timestamp"), F.max("ts").cast("timestamp")).first()
+    cuts = [last - (last - first) * i / 4 for i in range(5)]
+    spans = [F.col("ts").cast("timestamp") > F.lit(c) for c in cuts[1:4]] + [F.lit(True)]
+    for i, newer in enumerate([*spans, spans[0]]):
+        part = events.where(newer & ~spans[i - 1]) if 0 < i < 4 else events.where(newer)
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return _ingested(spark, folder, files_per_batch=1)
 
 
 @query(oracle.with_(_EVENTS_SNAP) + "SELECT user_id, day, event_id, event_type FROM snap")
@@ -189,6 +283,6 @@ def stream_scd2(spark, sf_dir):
     )
     run = maintain_history(stream, store, scratch_path(spark, "checkpoint"))
     run.awaitTermination()
-    return store.dimension(run.lastProgress["batchId"])
+    return store.dimension()
 
 

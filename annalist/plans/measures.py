@@ -61,6 +61,33 @@ def headcount_latest(spark, sf_dir):
     )
 
 
+@query(
+    _FACT + "SELECT org_unit, max(snapshot_date) AS snapshot_date, count(*) FILTER (WHERE status ="
+    " 'on_leave') AS on_leave FROM fact JOIN (SELECT org_unit, max(snapshot_date) AS snapshot_date"
+    " FROM fact GROUP BY org_unit) USING (org_unit, snapshot_date) GROUP BY org_unit"
+)
+def on_leave_by_unit(spark, sf_dir):
+    """Each unit on its own latest day."""
+    on_leave = F.col("status") == "on_leave"
+    return measures.count_on_latest_day(
+        people_fact(spark, sf_dir), "snapshot_date", on_leave, "on_leave", ["org_unit"]
+    )
+
+
+@query(
+    _EVENTS + "SELECT CAST(date_trunc('month', event_date) AS DATE) AS month, count(*) FILTER (WHERE"
+    f" status = 'terminated' AND {_moved('status')} AND NOT is_initial) AS total_terminations,"
+    f" count(*) FILTER (WHERE {_moved('org_unit', 'role_family')} AND NOT is_initial) AS internal_moves"
+    " FROM ev GROUP BY 1"
+)
+def terminations_by_month(spark, sf_dir):
+    """Terminations and internal moves of each month with events."""
+    month = F.trunc("event_date", "month").alias("month")
+    events = _events(spark, sf_dir)
+    left = measures.terminations(events, by=[month])
+    return left.join(measures.internal_moves(events, ["org_unit", "role_family"], by=[month]), "month")
+
+
 @query(
     _EVENTS + "SELECT count(*) AS total_terminations FROM ev WHERE status = 'terminated' AND"
     f" {_moved('status')} AND NOT is_initial"
@@ -182,7 +209,7 @@ def workforce_mix(spark, sf_dir):
 @query(
     oracle.with_(PEOPLE_SNAP, FACT_SQL, _IDENT)
     + "SELECT snapshot_date, gender, CAST(sum(active_headcount_flag) AS BIGINT) AS active_headcount"
-    " FROM fact JOIN ident USING (employee_id) GROUP BY ALL"
+    " FROM fact LEFT JOIN ident USING (employee_id) GROUP BY ALL"
 )
 def headcount_by_gender(spark, sf_dir):
     star = asof.with_dimension(
@@ -215,7 +242,7 @@ def star_by_segment(spark, sf_dir):
     " || chr(10) || string_agg('• ' || strftime(effective_start_date, '%Y-%m-%d') || ' to ' ||"
     " CASE WHEN is_current THEN 'Present' ELSE strftime(effective_end_date, '%Y-%m-%d') END ||"
     " chr(10) || '  └ ' || role_family || ' (' || org_unit || ')', chr(10) || chr(10) ORDER BY"
-    " effective_start_date) AS history FROM dim JOIN ident USING (employee_id) GROUP BY employee_id"
+    " effective_start_date) AS history FROM dim LEFT JOIN ident USING (employee_id) GROUP BY employee_id"
 )
 def career_timeline(spark, sf_dir):
     return measures.career_timeline(

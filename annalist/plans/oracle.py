@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from annalist.plans.inputs import Feed
+from annalist.plans.registry import TEST_SALT
 from annalist.spec import EntitySpec
 
 
@@ -136,4 +137,4 @@ def last4(x: str, strict: bool = False) -> str:
 
 
 def token(x: str) -> str:
-    return f"sha256('employee-scd2-lab-static-salt|' || coalesce({x}, ''))"
+    return f"sha256('{TEST_SALT}|' || coalesce({x}, ''))"

@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from annalist.functions.fingerprint import SALT_CONF
+
+#: Salt of the registered queries and their SQL, set while a query is built and never left behind.
+TEST_SALT = "registered-queries-only"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -19,7 +25,17 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
         key = name or fn.__name__
         if key in QUERIES:
             raise ValueError(f"query {key} is registered twice")
-        QUERIES[key] = fn
+
+        @wraps(fn)
+        def salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+            before = spark.conf.get(SALT_CONF, None)
+            spark.conf.set(SALT_CONF, TEST_SALT)
+            try:
+                return fn(spark, sf_dir)
+            finally:
+                spark.conf.unset(SALT_CONF) if before is None else spark.conf.set(SALT_CONF, before)
+
+        QUERIES[key] = salted
         if sql is not None:
             ORACLES[key] = sql
         return fn

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _written: list[str] = []
+_prefixes: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -20,7 +22,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     root = tempfile.mkdtemp(prefix="annalist-")
     spark.sparkContext.setCheckpointDir(root)
@@ -48,8 +50,20 @@ def materialize_counting(df: DataFrame, label: str, condition: str) -> tuple[Dat
     return written, seen.get["rows"]
 
 
+def scratch_tables(prefix: str) -> str:
+    """Mark the catalog's tables of this prefix as scratch."""
+    _prefixes.append(prefix)
+    return prefix
+
+
 def drop_scratch(spark: SparkSession) -> None:
-    """Remove every scratch table this process wrote."""
+    """Remove every scratch table this process wrote; results that read them end with them."""
+    while _prefixes:
+        prefix = _prefixes.pop()
+        for table in spark.catalog.listTables():
+            if table.name.startswith(prefix):
+                kind = "VIEW" if table.tableType in ("VIEW", "TEMPORARY") else "TABLE"
+                spark.sql(f"DROP {kind} IF EXISTS `{table.name}`")
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     while _written:
         target = jvm.org.apache.hadoop.fs.Path(_written.pop())

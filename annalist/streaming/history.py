@@ -4,50 +4,83 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from annalist.operators.conform import keyed_rows, one_row_per_day
 from annalist.operators.incremental import apply_batch
 from annalist.operators.versions import build_versions
 from annalist.spec import EntitySpec
+from annalist.streaming.ingest import run_id
 
+COMMIT = "step int, run string, batch long"
 
-class VersionedHistory:
-    """Snapshots and the dimension built from them, one folder per micro-batch.
-
-    Batch n reads the dimension of batch n-1 and writes its own folder, so no table is ever
-    overwritten while it is read, and a batch that Spark repeats after a failure produces the
-    same folder again.  Late and corrected days are resolved by ``apply_batch``, which rebuilds
-    only the entities concerned from the stored snapshots.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, spec: EntitySpec):
-        self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
 
-    def _dimension_path(self, batch: int) -> str:
-        return f"{self.root}/dimension/batch={batch}"
+class VersionedHistory:
+    """Snapshots and the dimension built from them, one commit per micro-batch.
 
-    def dimension(self, batch: int) -> DataFrame:
-        return self.spark.read.parquet(self._dimension_path(batch))
+    A commit is a small record (``step``, run, batch, the step it builds on), written after its data.
+    Steps go on from the last commit of the store, whatever the stream's own batch numbers are: a
+    stream that starts again with a fresh checkpoint adds to the history. A batch that Spark repeats
+    replaces its own step. A lower batch of a run that has gone further is refused. No table is
+    overwritten while it is read; dimensions before the last ``keep`` steps are removed.
 
-    def snapshots(self, batch: int) -> DataFrame:
-        """Every snapshot row of the batches up to ``batch``."""
-        stored = self.spark.read.option("basePath", f"{self.root}/snapshots").parquet(
-            f"{self.root}/snapshots"
-        )
-        return stored.filter(f"batch <= {batch}").drop("batch")
+    Late and corrected days are resolved by ``apply_batch``, which rebuilds only the entities
+    concerned from the stored snapshots.
+    """
 
-    def apply(self, rows: DataFrame, batch: int) -> None:
+    def __init__(self, spark: SparkSession, root: str, spec: EntitySpec, keep: int = 2):
+        self.spark, self.root, self.spec, self.keep = spark, root.rstrip("/"), spec, keep
+
+    def _path(self, kind: str, step: int) -> str:
+        return f"{self.root}/{kind}/step={step}"
+
+    def commits(self) -> list[Row]:
+        """The commits in order; one small row for each micro-batch."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/commits/step=*/_SUCCESS")
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path):
+            return []
+        # Replayed commits replace their folder, so a step has one row.
+        return self.spark.read.schema(COMMIT).parquet(f"{self.root}/commits/*").orderBy("step").collect()
+
+    def dimension(self, step: int | None = None) -> DataFrame:
+        """The dimension after a step, by default the last one."""
+        if step is None:
+            step = self.commits()[-1]["step"]
+        return self.spark.read.parquet(self._path("dimension", step))
+
+    def snapshots(self, step: int) -> DataFrame:
+        """Every snapshot row of the steps up to ``step``."""
+        stored = self.spark.read.option("basePath", f"{self.root}/snapshots").parquet(f"{self.root}/snapshots")
+        return stored.filter(f"step <= {step}").drop("step")
+
+    def apply(self, rows: DataFrame, batch: int, run: str = "") -> int:
+        """Take in a batch and return its step."""
+        done = self.commits()
+        own = [c for c in done if c["run"] == run]
+        again = [c for c in own if c["batch"] == batch]
+        if not again and own and batch < own[-1]["batch"]:
+            raise ValueError(f"batch {batch} of run {run!r} is older than its last commit")
+        if again and again[0]["step"] < done[-1]["step"]:
+            return again[0]["step"]  # it is part of what was built on it
+        step = again[0]["step"] if again else (done[-1]["step"] + 1 if done else 0)
+        before = step - 1
         fresh = keyed_rows(rows, self.spec)
-        # Replacing the batch's own folder makes a repeated batch harmless.
-        fresh.write.mode("overwrite").parquet(f"{self.root}/snapshots/batch={batch}")
-        fresh = self.spark.read.parquet(f"{self.root}/snapshots/batch={batch}")
-        if batch == 0:
+        fresh.write.mode("overwrite").parquet(self._path("snapshots", step))
+        fresh = self.spark.read.parquet(self._path("snapshots", step))
+        if before < 0:
             dim = build_versions(one_row_per_day(fresh, self.spec), self.spec, with_last_seen=True)
         else:
-            dim = apply_batch(self.dimension(batch - 1), fresh, self.spec, self.snapshots(batch))
-        dim.write.mode("overwrite").parquet(self._dimension_path(batch))
+            dim = apply_batch(self.dimension(before), fresh, self.spec, self.snapshots(step))
+        dim.write.mode("overwrite").parquet(self._path("dimension", step))
+        record = self.spark.createDataFrame([(step, run, batch)], COMMIT).coalesce(1)
+        record.write.mode("overwrite").parquet(self._path("commits", step))
+        self._forget(step - self.keep)
+        return step
+
+    def _forget(self, step: int) -> None:
+        old = self.spark._jvm.org.apache.hadoop.fs.Path(self._path("dimension", step))
+        old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
 
 
 def maintain_history(
@@ -63,7 +96,7 @@ def maintain_history(
     """
 
     def apply(df: DataFrame, batch: int) -> None:
-        history.apply(prepare(df), batch)
+        history.apply(prepare(df), batch, run_id(df.sparkSession, checkpoint))
 
     return (
         stream.writeStream.foreachBatch(apply)

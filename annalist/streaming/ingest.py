@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,29 +47,54 @@ def ingest_available(stream: DataFrame, path: str, checkpoint: str) -> Streaming
     )
 
 
-def drop_redelivered(
-    stream: DataFrame, columns: Sequence[str], event_time: str, delay: str
-) -> DataFrame:
-    """Drop rows already seen with the same ``columns`` within ``delay``.
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The identity Spark gives a stream with its checkpoint; a fresh checkpoint is another run."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
+def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
+    """Everything ``ingest_fresh`` has landed, with ``run`` and ``batch``; None before the first batch."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/run=*/batch=*/_SUCCESS")):
+        return None
+    return spark.read.option("basePath", path).parquet(f"{path}/run=*/batch=*")
+
+
+def ingest_fresh(
+    stream: DataFrame, path: str, checkpoint: str, columns: Sequence[str], date: str
+) -> StreamingQuery:
+    """Append what has arrived and was not delivered before, however late, and stop.
+
+    A row counts as delivered before when one with the same ``columns`` is stored. Put the row's
+    fingerprint among them: a correction of the same day differs in it and passes, to be resolved
+    later by the tie-break of the snapshot. Nothing is forgotten and nothing is dropped for being
+    late, so there is no time limit to choose: each micro-batch is compared with what is stored for
+    the days it touches, and storage is partitioned by day (``date``, one of ``columns``).
 
-    Put the row's fingerprint among ``columns``: a correction of the same day differs in it
-    and passes, to be resolved later by the tie-break of the snapshot.  State is kept for
-    ``delay``, which must cover the longest lateness of the feed, because rows that are later
-    than that are dropped by Spark; ``late_rows_dropped`` tells whether this happened.
-    ``event_time`` may be a timestamp without time zone, which a watermark does not accept.
+    A batch that is repeated after a failure replaces its own folder and is not compared with it. A
+    fresh checkpoint is another run beside the earlier ones.
     """
-    return (
-        stream.withColumn("_event_time", F.col(event_time).cast("timestamp"))
-        .withWatermark("_event_time", delay)
-        .dropDuplicatesWithinWatermark(list(columns))
-        .drop("_event_time")
-    )
+    if date not in columns:
+        raise ValueError(f"{date} must be among the columns that identify a row")
 
+    def apply(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        run = run_id(spark, checkpoint)
+        fresh = batch.dropDuplicates(list(columns))
+        before = stored_rows(spark, path)
+        if before is not None:
+            first, last = batch.agg(F.min(date), F.max(date)).first()
+            known = F.col(date).between(F.lit(first), F.lit(last)) | F.col(date).isNull()
+            other = (F.col("run") != run) | (F.col("batch") < number)
+            before = before.where(other & known).select(*[F.col(c).alias(f"_s_{c}") for c in columns])
+            same = [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in columns]
+            fresh = fresh.join(before, reduce(and_, same), "left_anti")
+        fresh.write.mode("overwrite").partitionBy(date).parquet(f"{path}/run={run}/batch={number}")
 
-def late_rows_dropped(query: StreamingQuery) -> int:
-    """Rows the query lost to its watermark so far; anything but 0 means ``delay`` is too short."""
-    return sum(
-        op.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for op in progress["stateOperators"]
+    return (
+        stream.writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )

@@ -6,6 +6,9 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
 
+from annalist.functions.fingerprint import SALT_CONF  # noqa: E402
+from annalist.sources.scratch import drop_scratch  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -20,8 +23,10 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", str(root / "warehouse"))
         .config("spark.checkpoint.dir", str(root / "checkpoints"))
+        .config(SALT_CONF, "tests-only")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_scratch(session)
     session.stop()

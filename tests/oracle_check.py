@@ -12,6 +12,8 @@ from decimal import Decimal
 
 import duckdb
 
+from annalist.sources.scratch import drop_scratch
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages"
     " benchmark labels conversations"
@@ -100,6 +102,7 @@ def main(argv: list[str]) -> int:
             problem = f"{type(e).__name__}: {str(e)[:1500]}"
         failed += bool(problem)
         print(f"{'ok  ' if not problem else 'FAIL'} {name} {time.time() - began:.1f}s {problem}", flush=True)
+        drop_scratch(spark)
     print(f"{failed} failed")
     return failed
 

@@ -65,7 +65,7 @@ def test_birth_year(spark):
 
 
 def test_token_of_missing_is_token_of_empty(spark):
-    a, b, c = applied(spark, [None, "", "x"], stable_token("x"))
+    a, b, c = applied(spark, [None, "", "x"], stable_token("x", "salt"))
     assert a == b != c and len(a) == 64
 
 
@@ -108,3 +108,15 @@ def test_policy_drops_and_refuses(spark):
     assert governance.raw_columns(person(spark), hr.POLICY) != []
     with pytest.raises(ValueError, match="unknown rules"):
         governance.governed(person(spark), {"tax_id": "scramble"})
+
+
+def test_tokens_need_a_salt(spark):
+    from annalist.functions.fingerprint import SALT_CONF, configured_salt
+
+    before = spark.conf.get(SALT_CONF)
+    spark.conf.unset(SALT_CONF)
+    try:
+        with pytest.raises(RuntimeError, match=SALT_CONF):
+            configured_salt(spark)
+    finally:
+        spark.conf.set(SALT_CONF, before)

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from annalist import EntitySpec
 from annalist.operators.versions import build_versions
 from annalist.streaming import ingest
@@ -38,11 +40,11 @@ def test_stream_equals_batch_with_late_and_corrected_days(spark, tmp_path):
     root, folder = str(tmp_path), str(tmp_path / "in")
     deliver(spark, folder, FIRST, LATE, FIRST, CORRECTION)
     store, run = history(spark, root, folder)
-    last = run.lastProgress["batchId"]
+    assert len(store.commits()) == run.lastProgress["batchId"] + 1 == 4
     full = build_versions(
         rows(spark, LATE[0], CORRECTION[0], FIRST[1], LATE[1]), SPEC, with_last_seen=True
     )
-    assert sorted(map(tuple, store.dimension(last).collect())) == sorted(map(tuple, full.collect()))
+    assert sorted(map(tuple, store.dimension().collect())) == sorted(map(tuple, full.collect()))
 
 
 def test_repeating_a_batch_changes_nothing(spark, tmp_path):
@@ -63,16 +65,50 @@ def test_each_file_is_ingested_once(spark, tmp_path):
         assert spark.read.parquet(target).count() == expected
 
 
-def test_redelivered_rows_are_dropped_and_corrections_pass(spark, tmp_path):
-    folder, target = str(tmp_path / "in"), str(tmp_path / "out")
-    deliver(spark, folder, FIRST, FIRST, CORRECTION)
+def test_fresh_checkpoint_goes_on_with_the_history(spark, tmp_path):
+    """A stream that starts again reads its files again and must not lose what the store has."""
+    root, folder = str(tmp_path), str(tmp_path / "in")
+    deliver(spark, folder, FIRST, LATE)
+    store, _ = history(spark, root, folder)
+    before = sorted(map(tuple, store.dimension().collect()))
+    second = str(tmp_path / "more")
+    deliver(spark, second, [("C", 7, 1, "q")])
+    stream = ingest.arriving_files(spark, second, SCHEMA, "parquet", files_per_batch=1)
+    maintain_history(stream, store, f"{root}/fresh").awaitTermination()
+    after = sorted(map(tuple, store.dimension().collect()))
+    assert [r for r in after if r[0] != "C"] == before and len(after) == len(before) + 1
+    assert {r.k for r in store.snapshots(99).collect()} == {"A", "B", "C"}
+    assert not (tmp_path / "store" / "dimension" / "step=0").exists()
+
+
+def test_lower_batch_of_a_run_is_refused_and_a_repeat_is_not(spark, tmp_path):
+    store = VersionedHistory(spark, str(tmp_path / "store"), SPEC)
+    assert [store.apply(rows(spark, *b), i) for i, b in ((0, FIRST), (5, LATE))] == [0, 1]
+    assert store.apply(rows(spark, *FIRST), 0) == 0
+    with pytest.raises(ValueError, match="older"):
+        store.apply(rows(spark, *CORRECTION), 3)
+
+
+def fresh(spark, folder, root):
     stream = ingest.arriving_files(spark, folder, SCHEMA, "parquet", files_per_batch=1)
-    fresh = ingest.drop_redelivered(stream, ["k", "d", "a"], "ts", "60 days")
-    run = ingest.ingest_available(fresh, target, str(tmp_path / "cp"))
+    run = ingest.ingest_fresh(stream, f"{root}/out", f"{root}/cp", ["k", "d", "a"], "d")
     run.awaitTermination()
-    assert ingest.late_rows_dropped(run) == 0
-    assert sorted((r.k, r.a) for r in spark.read.parquet(target).collect()) == [
-        ("A", "x"),
-        ("A", "y"),
-        ("B", "x"),
-    ]
+    return run, sorted((r.k, r.d.day, r.a) for r in ingest.stored_rows(spark, f"{root}/out").collect())
+
+
+def test_redelivered_rows_are_dropped_and_corrections_pass(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    deliver(spark, folder, FIRST, FIRST, CORRECTION)
+    assert fresh(spark, folder, tmp_path)[1] == [("A", 5, "x"), ("A", 5, "y"), ("B", 5, "x")]
+
+
+def test_no_row_is_lost_however_late(spark, tmp_path):
+    """Each delivery is older than all before it, and there are more batches than progress records are kept."""
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 2)
+    folder = str(tmp_path / "in")
+    days = [28, 20, 15, 9, 3, 1]
+    deliver(spark, folder, *[[("A", d, 1, "x"), ("B", d, 1, "y")] for d in days], [("A", 28, 1, "x")])
+    run, landed = fresh(spark, folder, tmp_path)
+    assert run.lastProgress["batchId"] + 1 == 7 > len(run.recentProgress)
+    assert set(landed) == {(k, d, a) for d in days for k, a in (("A", "x"), ("B", "y"))} and len(landed) == 12
+    spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
