@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annalist.operators.skew import HOT_ROWS, salted_join
+from annalist.operators.skew import HOT_ROWS, NULL_PARTS, hot_keys, salted_join
 
 
 def _day(value: Column | str) -> Column:
@@ -38,24 +38,45 @@ def as_of_versions(
 ) -> DataFrame:
     """Attach to each fact row ``columns`` of the version of ``fact_key`` valid on its date.
 
-    An equi-join on the key with the interval as extra condition.  When the facts hold at most
-    one row per key and day (``one_row_per_day``), a key cannot be hot and a plain join is
-    enough.  Otherwise hot keys are split.
+    Facts and versions of a key are laid in one order by day and the last version is carried
+    forward: one shuffle and one sort, and work in proportion to the rows, however many days and
+    versions a key has.  The intervals of a key must not overlap, which the gate checks.
+
+    When the facts hold at most one row per key and day (``one_row_per_day``), a key cannot be hot.
+    Otherwise hot keys are split and their versions copied to each part; facts without a key are
+    spread, too.
     """
-    valid = (F.col(date) >= F.col("_from")) & (F.col(date) <= F.col("_to"))
-    versions = dim.select(
-        F.col(dim_key).alias("_k"),
-        F.col("effective_start_date").alias("_from"),
-        F.col("effective_end_date").alias("_to"),
-        *[F.col(c).alias(f"_c_{c}") for c in columns],
+    if how not in {"left", "inner"}:
+        raise ValueError(f"as-of lookups are left or inner, not {how}")
+    version = F.struct(
+        F.col("effective_end_date").alias("_to"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)]
     )
-    if one_row_per_day:
-        joined = facts.join(versions, (F.col(fact_key) == F.col("_k")) & valid, how)
-    else:
-        joined = salted_join(
-            facts, versions.withColumnRenamed("_k", fact_key), [fact_key], how, valid, hot_rows
-        )
-    return joined.select(*facts.columns, *[F.col(f"_c_{c}").alias(c) for c in columns])
+    versions = dim.dropna(subset=[dim_key, "effective_start_date"]).select(
+        F.col(dim_key).alias("_k"), F.col("effective_start_date").alias("_d"), version.alias("_v")
+    )
+    part = F.when(F.col(fact_key).isNull(), F.pmod(F.xxhash64(*facts.columns), F.lit(NULL_PARTS))).otherwise(0)
+    rows = facts.select(
+        F.col(fact_key).alias("_k"), F.col(date).alias("_d"), F.struct(*facts.columns).alias("_f"),
+        part.cast("int").alias("_part"),
+    )
+    versions = versions.withColumn("_part", F.lit(0))
+    if not one_row_per_day:
+        listed = hot_keys(facts.select(F.col(fact_key).alias("_k")), ["_k"], hot_rows).dropna()
+        if not listed.isEmpty():
+            salt = F.pmod(F.xxhash64("_f"), F.col("_parts")).cast("int")
+            rows = rows.join(listed, "_k", "left").withColumn("_part", F.coalesce(salt, "_part")).drop("_parts")
+            copies = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+            versions = versions.join(listed, "_k", "left").withColumn("_part", copies).drop("_parts")
+    # A version comes before the facts of the day it starts on.
+    both = rows.unionByName(versions, allowMissingColumns=True).withColumn("_o", F.col("_f").isNotNull())
+    order = Window.partitionBy("_k", "_part").orderBy("_d", "_o")
+    carried = F.last("_v", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = both.withColumn("_v", carried).where("_o")
+    valid = F.col("_d") <= F.col("_v._to")
+    if how == "inner":
+        found = found.where(valid)
+    values = [F.when(valid, F.col(f"_v._c{i}")).alias(c) for i, c in enumerate(columns)]
+    return found.select(*[F.col("_f")[c].alias(c) for c in facts.columns], *values)
 
 
 def manager_versions(

@@ -515,6 +515,20 @@ def all_reports(spark, sf_dir):
     return hierarchy.all_reports(_edges_as_of(spark, sf_dir), "employee_id", "manager_id")
 
 
+@query(
+    oracle.with_(f"edges AS ({inputs.CYCLIC_EDGES_SQL})", _WALK,
+                 "lasts AS (SELECT employee_id, arg_max(ancestor, level) AS last FROM walk GROUP BY 1)",
+                 # On a cycle the way leads back to where it began.
+                 "loops AS (SELECT w.employee_id AS node, min(w.ancestor) AS cycle FROM walk w JOIN lasts"
+                 " USING (employee_id) JOIN edges e ON e.employee_id = last AND e.manager_id ="
+                 " w.employee_id GROUP BY 1)")
+    + "SELECT node, cycle FROM loops"
+)
+def reporting_cycles(spark, sf_dir):
+    """The members of reporting cycles and the smallest member of each."""
+    return hierarchy.cycles(inputs.cyclic_edges(spark, sf_dir), "employee_id", "manager_id")
+
+
 # Star joins.
 
 _IDENTITY_SQL = f"ident AS ({IDENTITY.sql()})"

@@ -89,3 +89,64 @@ def test_levels_limit_the_report_only(spark):
         ("b", "c", "root"),
         ("c", "d", "root"),
     ]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_cycles_totals_and_lines_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    edges = {f"E{i}": rng.choice([None, f"E{i}", f"E{rng.randint(0, 45)}"] + [f"E{max(i - 1, 0)}"] * 6) for i in range(40)}
+    df = spark.createDataFrame(list(edges.items()), "employee_id string, manager_id string")
+    chains = {k: brute_chain(edges, k)[0] for k, m in edges.items() if m is not None}
+
+    def cycle_of(k):
+        seen = []
+        while k is not None and k not in seen:
+            seen.append(k)
+            k = edges.get(k)
+        return seen[seen.index(k):] if k is not None else []
+
+    on_cycle = {k: min(c) for k in edges if k in (c := cycle_of(k))}
+    got = {r.node: r.cycle for r in hierarchy.cycles(df, "employee_id", "manager_id", hot_rows=5).collect()}
+    assert got == on_cycle
+    total, direct = {}, {}
+    for path in chains.values():
+        for level, boss in enumerate(path):
+            total[boss] = total.get(boss, 0) + 1
+            direct[boss] = direct.get(boss, 0) + (level == 0)
+    rows = hierarchy.all_reports(df, "employee_id", "manager_id", hot_rows=5).collect()
+    assert {r.manager_id: (r.direct_reports, r.all_reports) for r in rows} == {k: (direct[k], n) for k, n in total.items() if direct[k]}
+    lines = {}
+    for r in hierarchy.reporting_lines(df, "employee_id", "manager_id", hot_rows=5).collect():
+        lines.setdefault(r.employee_id, []).append((r.level, r.ancestor, r.cycle))
+    want = {}
+    for k, path in chains.items():
+        if k not in on_cycle:
+            stop = next((i for i, b in enumerate(path) if b in on_cycle), len(path) - 1)
+            want[k] = [(i + 1, b, on_cycle.get(b)) for i, b in enumerate(path[: stop + 1])]
+    assert {k: sorted(v) for k, v in lines.items()} == want
+
+
+def test_as_of_lookup_with_a_hot_key_and_missing_keys(spark):
+    import datetime as dt
+
+    from annalist.operators import asof
+
+    rng = random.Random(3)
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    versions = []
+    for k in range(8):
+        starts = sorted(rng.sample(range(100), 5))
+        for i, s in enumerate(starts):
+            end = day(starts[i + 1] - 1) if i < 4 else dt.date(9999, 12, 31)
+            versions.append((k, day(s), day(s + 1) if k == 3 else end, f"{k}-{i}"))
+    facts = [(i, 1 if i % 10 else rng.choice([None, *range(10)]), day(rng.randrange(120))) for i in range(600)]
+    dim = spark.createDataFrame(versions, "k int, effective_start_date date, effective_end_date date, v string")
+    df = spark.createDataFrame(facts, "id int, who int, d date")
+    want = {
+        i: next((v for k, a, b, v in versions if k == who and a <= d <= b), None) for i, who, d in facts
+    }
+    for hot in (10**6, 20):
+        out = asof.as_of_versions(df, dim, "who", "d", "k", ["v"], hot_rows=hot)
+        assert out.columns == ["id", "who", "d", "v"] and {r.id: r.v for r in out.collect()} == want
+        inner = asof.as_of_versions(df, dim, "who", "d", "k", ["v"], "inner", hot_rows=hot)
+        assert {r.id: r.v for r in inner.collect()} == {i: v for i, v in want.items() if v is not None}
