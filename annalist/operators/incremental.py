@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from annalist.functions.fingerprint import fingerprint
 from annalist.operators.conform import one_row_per_day
+from annalist.operators.keys import dense_keys
 from annalist.operators.versions import build_versions, versions_from_states
-from annalist.sources.scratch import materialize_counting
+from annalist.sources.scratch import materialize, materialize_counting
 from annalist.spec import EntitySpec
 
-# Up to this many late entities their list is broadcast (some tens of megabytes at most).
-BROADCAST_KEYS = 200_000
+_VERSION_COLUMNS = ("effective_start_date", "effective_end_date", "is_current", "hash_diff", "last_seen_date")
 
 
 def late_keys(dim: DataFrame, batch: DataFrame, spec: EntitySpec) -> DataFrame:
@@ -34,35 +34,58 @@ def late_keys(dim: DataFrame, batch: DataFrame, spec: EntitySpec) -> DataFrame:
     return spans.filter(F.col("_new") <= F.col("_known")).select(spec.key)
 
 
+def _rekeyed(changed: DataFrame, known: DataFrame, spec: EntitySpec, sk: str, highest: int) -> DataFrame:
+    """``changed`` with the keys its versions had in ``known``; new versions get keys above ``highest``."""
+    where = [spec.key, "effective_start_date"]
+    changed = materialize(changed.join(known.select(*where, sk), where, "left"), "changed")
+    fresh = dense_keys(changed.where(F.col(sk).isNull()).drop(sk), where, sk)
+    return changed.where(F.col(sk).isNotNull()).unionByName(fresh.withColumn(sk, F.col(sk) + highest))
+
+
 def apply_batch(
-    dim: DataFrame, batch: DataFrame, spec: EntitySpec, history: DataFrame | None = None
+    dim: DataFrame,
+    batch: DataFrame,
+    spec: EntitySpec,
+    history: DataFrame | None = None,
+    sk: str | None = None,
 ) -> DataFrame:
     """The dimension after ``batch``, equal to a full build over all snapshots so far.
 
     ``dim`` must carry ``last_seen_date``.  Entities whose new days all follow the last day
     seen are extended: their open version becomes a seed row in front of the new days.
     Entities with late days or corrections are rebuilt from ``history``, the snapshots
-    including the batch.  Closed versions of the others pass through untouched.
+    including the batch.  Closed versions of the others, and the open versions of entities
+    that are not in the batch, pass through untouched.
+
+    ``sk`` names the surrogate key of ``dim``, if it has one.  A version that stays, by entity and
+    start, keeps its key; a new one gets the next number above the highest, so keys of the
+    published dimension never move.
 
     The late entities are listed first, by one small job.  Without any, which is the usual
-    case, the history is not read and closed versions are not joined with anything.  A short
-    list is broadcast, so that neither of them is shuffled.  Without ``history`` the batch
-    must contain no late entity.
+    case, the history is not read.  Whether a list of entities is broadcast is left to Spark's
+    measured sizes.  Without ``history`` the batch must contain no late entity.
     """
     if "last_seen_date" not in dim.columns:
         raise ValueError("the dimension needs last_seen_date to be maintained incrementally")
     columns = dim.columns
+    other = set(columns) - {spec.key, *spec.tracked, *_VERSION_COLUMNS, sk}
+    if other:
+        raise ValueError(f"the dimension has columns that no snapshot gives: {sorted(other)}")
     batch = one_row_per_day(batch, spec)
     late, count = materialize_counting(late_keys(dim, batch, spec), "late", "true")
     if count and history is None:
         raise ValueError("the batch has late entities; pass the snapshot history to rebuild them")
+    present = batch.select(spec.key).distinct()
+    opened = dim.filter("is_current")
+    moving = opened.join(present, spec.key, "left_semi")
+    kept = dim.filter(~F.col("is_current"))
 
     # An open version may show values taken from several of its days, so it takes part by
     # its stored fingerprint, not by one computed from what it shows.
     digest = fingerprint(
         [F.col(c) for c in spec.tracked], spec.separator, spec.null_safe, spec.missing
     )
-    seeds = dim.filter("is_current").select(
+    seeds = moving.select(
         F.col(spec.key),
         F.col("effective_start_date").alias("_day"),
         F.col("last_seen_date").alias("_seen"),
@@ -76,18 +99,17 @@ def apply_batch(
         F.struct(*spec.tracked).alias("_now"),
         digest.alias("_hash"),
     )
-    closed = dim.filter(~F.col("is_current"))
-    states = seeds.unionByName(fresh)
-    if not count:
-        extended = versions_from_states(states, spec, with_last_seen=True)
-        return closed.unionByName(extended).select(*columns)
-
-    if count <= BROADCAST_KEYS:
-        late = F.broadcast(late)
-    on_time = states.join(late, spec.key, "left_anti")
-    extended = versions_from_states(on_time, spec, with_last_seen=True)
-    rebuilt = build_versions(
-        one_row_per_day(history.join(late, spec.key, "left_semi"), spec), spec, with_last_seen=True
-    )
-    kept = closed.join(late, spec.key, "left_anti")
-    return kept.unionByName(extended).unionByName(rebuilt).select(*columns)
+    states, known = seeds.unionByName(fresh), moving
+    if count:
+        states = states.join(late, spec.key, "left_anti")
+        known = known.unionByName(kept.join(late, spec.key, "left_semi"))
+        kept = kept.join(late, spec.key, "left_anti")
+    changed = versions_from_states(states, spec, with_last_seen=True)
+    if count:
+        again = one_row_per_day(history.join(late, spec.key, "left_semi"), spec)
+        changed = changed.unionByName(build_versions(again, spec, with_last_seen=True))
+    if sk:
+        highest = dim.agg(F.max(sk)).first()[0] or 0
+        changed = _rekeyed(changed, known, spec, sk, highest)
+    untouched = opened.join(present, spec.key, "left_anti")
+    return kept.unionByName(untouched).select(*columns).unionByName(changed.select(*columns))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -176,6 +178,90 @@ def end_to_end_scd2(spark, sf_dir):
     return _landed(spark, sf_dir).read(spark, "gold_scd2")
 
 
+def _delivered(spark, sf_dir) -> jobs.Layout:
+    """Three deliveries: the newer half, then the older days, then a part of the first again."""
+    layout = replace(_layout(spark, buckets=0), daily=True)
+    extract = _extract(spark, sf_dir)
+    first, last = extract.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
+    middle, late = first + (last - first) / 2, first + (last - first) * 3 / 4
+    parts = [F.col("snapshot_date") > middle, F.col("snapshot_date") <= middle, F.col("snapshot_date") > late]
+    for i, part in enumerate(parts):
+        folder = scratch_path(spark, "delivery")
+        tables.write_csv(extract.where(part), folder, hr.RAW_COLUMNS)
+        jobs.run_day(spark, folder, layout) if i else jobs.run_all(spark, folder, layout)
+    return layout
+
+
+@query(
+    oracle.with_(_EXTRACT_SQL, oracle.versions("dim", "snap", _SPEC))
+    + f"SELECT {oracle.version_columns(_SPEC, last_seen=True)} FROM dim"
+)
+def end_to_end_daily(spark, sf_dir):
+    """Deliveries taken in one by one give the versions of a full build."""
+    return _delivered(spark, sf_dir).read(spark, "gold_scd2").drop("employee_sk")
+
+
+@query(
+    oracle.with_(_EXTRACT_SQL, oracle.events("ev", "snap", _SPEC))
+    + "SELECT 'snapshot' AS kind, snapshot_date AS day, count(*) AS n FROM snap GROUP BY 2 UNION ALL"
+    " SELECT 'daily', snapshot_date, count(*) FROM snap GROUP BY 2 UNION ALL"
+    " SELECT 'change', event_date, count(*) FROM ev GROUP BY 2"
+)
+def end_to_end_daily_counts(spark, sf_dir):
+    """Rows per day after deliveries taken in one by one."""
+    layout = _delivered(spark, sf_dir)
+    days = {"snapshot": ("silver_snapshot", "snapshot_date"), "daily": ("gold_daily", "snapshot_date"), "change": ("gold_changes", "event_date")}
+    counts = [
+        layout.read(spark, t).groupBy(F.col(d).alias("day")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("kind"), "day", "n")
+        for k, (t, d) in days.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+_KEYED_DIM = (
+    "keyed AS (SELECT row_number() OVER (ORDER BY employee_id, effective_start_date) AS employee_sk, *"
+    " FROM dim)"
+)
+
+
+def _published(spark, sf_dir) -> jobs.Layout:
+    layout = replace(_layout(spark), documented=True)
+    jobs.run_all(spark, _extract_files(spark, sf_dir), layout)
+    return layout
+
+
+@query(
+    oracle.with_(_EXTRACT_SQL, _VERSIONS, _KEYED_DIM)
+    + "SELECT s.snapshot_date, s.employee_id, s.status, k.employee_sk FROM snap s LEFT JOIN keyed k ON"
+    " s.employee_id = k.employee_id AND s.snapshot_date BETWEEN k.effective_start_date AND"
+    " k.effective_end_date"
+)
+def end_to_end_fact_sk(spark, sf_dir):
+    """The daily fact as documented, with the key of the version valid on its day."""
+    return _published(spark, sf_dir).read(spark, "gold_daily").select("snapshot_date", "employee_id", "status", "employee_sk")
+
+
+@query(
+    oracle.with_(_EXTRACT_SQL, _VERSIONS)
+    + f"SELECT employee_id, effective_start_date, {oracle.phone('phone_number')} AS phone_number,"
+    f" {oracle.postal('home_address_postal_code')} AS home_address_postal_code, home_address_city FROM dim"
+)
+def end_to_end_governed(spark, sf_dir):
+    """The Type-2 dimension as documented, without raw personal data."""
+    dim = _published(spark, sf_dir).read(spark, "gold_scd2")
+    if "home_address_line1" in dim.columns:
+        raise AssertionError("the street is published")
+    return dim.select("employee_id", "effective_start_date", "phone_number", "home_address_postal_code", "home_address_city")
+
+
+@query(
+    oracle.with_(_EXTRACT_SQL, "b AS (SELECT min(snapshot_date) lo, max(snapshot_date) hi FROM snap)")
+    + "SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM b"
+)
+def end_to_end_dim_date(spark, sf_dir):
+    return _published(spark, sf_dir).read(spark, "gold_date").select("date")
+
+
 @query(
     oracle.with_(_EXTRACT_SQL, oracle.events("ev", "snap", _SPEC))
     + f"SELECT {oracle.date_key('event_date')} AS date_key, event_date, employee_id, "
