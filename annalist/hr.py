@@ -139,6 +139,7 @@ def scd2_dimension(
 
 
 def daily_fact(snapshot: DataFrame) -> DataFrame:
+    # The attributes reports slice by.
     attributes = ["status", "org_unit", "team", "work_mode", "fte_flag", "salary_band"]
     return facts.daily_fact(snapshot, SPEC, attributes, "status", "active")
 

@@ -97,7 +97,7 @@ def headcount_rollup(fact: DataFrame, levels: Sequence[str], by: Sequence[str] =
     )
 
 
-# The names of event types, in the order in which they are tested.
+# The names of event types, in the order in which they are tested.
 EVENT_TYPES = (
     "hire",
     "rehire",
@@ -208,6 +208,7 @@ def career_timeline(
 
     A version list is no longer than the calendar, so one text per entity is bounded.
     """
+    # The texts of the timeline.
     until = F.when(F.col("is_current"), "Present").otherwise(date_text("effective_end_date"))
     entry = F.concat(
         F.lit("• "), date_text("effective_start_date"), F.lit(" to "), until,

@@ -537,7 +537,7 @@ _IDENTITY_SQL = f"ident AS ({IDENTITY.sql()})"
 @query(
     oracle.with_(PEOPLE_SNAP, _IDENTITY_SQL)
     + "SELECT p.employee_id, p.snapshot_date, p.status, p.org_unit, i.full_name, i.work_email,"
-    " i.tax_id FROM people p JOIN ident i USING (employee_id)"
+    " i.tax_id FROM people p LEFT JOIN ident i USING (employee_id)"
 )
 def wide_extract(spark, sf_dir):
     return asof.wide_extract(
@@ -547,16 +547,16 @@ def wide_extract(spark, sf_dir):
     )
 
 
-_WOMEN_ON_LEAVE = "gender = 'F' AND full_name IS NOT NULL"
+_NAMED_WOMEN = "gender = 'F' AND full_name IS NOT NULL"
 
 
 @query(
     oracle.with_(PEOPLE_SNAP, FACT_SQL, _IDENTITY_SQL)
     + f"SELECT f.* FROM fact f WHERE f.employee_id IN (SELECT employee_id FROM ident WHERE"
-    f" {_WOMEN_ON_LEAVE})"
+    f" {_NAMED_WOMEN})"
 )
 def rows_of_selected(spark, sf_dir):
-    chosen = IDENTITY.frame(spark, sf_dir).filter(_WOMEN_ON_LEAVE)
+    chosen = IDENTITY.frame(spark, sf_dir).filter(_NAMED_WOMEN)
     return asof.rows_of_selected(people_fact(spark, sf_dir), chosen, "employee_id")
 
 
