@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from annalist.sources.scratch import materialize
 
+#: Links in a file of the tables between rounds.
+FILE = 200_000
+
 
 def _star(directed: DataFrame) -> DataFrame:
     """(v, smallest) for each (u, v): smallest is the least of u and its v."""
@@ -40,6 +43,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         small = _star(_canonical(large))
         # v goes to the smallest neighbour of u, and so does u.
         down = small.select(F.explode(F.array(F.struct(F.col("v").alias("a"), F.col("m").alias("b")), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.*")
-        edges = materialize(_canonical(down), "links")
+        # Links never grow in number, so the count so far tells how many files are enough.
+        edges = materialize(_canonical(down).coalesce(1 + n // FILE), "links")
     hung = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
     return hung.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
