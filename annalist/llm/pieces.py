@@ -35,7 +35,7 @@ UNKNOWN = 10.0
 #: Units of up to this many bytes are encoded many at a time.
 SHORT = 48
 #: Distinct units a process keeps.
-KEPT = 600_000
+KEPT = 300_000
 _MARK = MARKER.encode()
 _UNIT = re.compile(r"[\n▁]| *[^ \n▁]+| +")
 
