@@ -1,6 +1,13 @@
 """SentencePiece encoding and decoding: unigram Viterbi over a double-array trie of pieces.
 
-A text is encoded as the pieces of the highest summed score. Spaces are written as the marker, and a
+A text is encoded as the pieces of the highest summed score. The file's own scores are ranks of merges,
+whose sums mean nothing, so they only order the pieces; unless a vocabulary is given, scores are log
+frequencies of the pieces in all documents (`fitted`): units are counted once, then every unit is cut
+along its best path and the pieces are counted anew, ``FITS`` times. The first paths are those of the
+fewest pieces, on equal numbers of the earlier merges. Every piece counts once more than it occurs, so one
+that no document holds has the least score, but a finite one. Empty tables leave all pieces equal.
+
+Spaces are written as the marker, and a
 marker is put in front. A character that no piece covers costs ``UNKNOWN`` less than the worst piece
 and comes out as its bytes (byte fallback). On equal scores the path found first, from the left and
 over shorter pieces last, stays. Nothing else is changed in the text, so decoding gives it back exactly; a
@@ -17,16 +24,21 @@ A null text has null pieces, an empty one none. Repeated rows are encoded alike.
 
 from __future__ import annotations
 
+import copy
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import compress, islice
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from annalist.llm.trie import DoubleArray
+from annalist.sources.scratch import materialize
 
 #: The public vocabulary the registered queries use.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -36,6 +48,10 @@ UNKNOWN = 10.0
 SHORT = 48
 #: Distinct units a process keeps.
 KEPT = 300_000
+#: Rounds of counting pieces along best paths.
+FITS = 2
+#: Characters a process reads at most between two writes of its unit counts.
+COUNTED = 1 << 25
 _MARK = MARKER.encode()
 _UNIT = re.compile(r"[\n▁]| *[^ \n▁]+| +")
 
@@ -53,14 +69,24 @@ class Vocabulary:
         self.scores = np.array([s for _, s in pieces])
         normal = {p: i for i, (p, _) in enumerate(pieces) if p}
         self.trie = DoubleArray(normal)
+        self.usual = np.array(sorted(normal.values()))
         self.unknown = float(min(self.scores[i] for i in normal.values())) - UNKNOWN
         crossing = [p for p in normal if _MARK in p.lstrip(b" ").replace(_MARK, b" ").lstrip(b" ").replace(b" ", _MARK)]
         if crossing or any(b"\n" in p for p in normal):
             raise ValueError(f"pieces that reach over a space or a line end: {crossing[:3]}")
         self.decoded = [p.replace(_MARK, b" ") if i not in set(byte_ids) else p for i, p in enumerate(self.bytes)]
 
+    def with_scores(self, scores: np.ndarray) -> Vocabulary:
+        """The same pieces with other scores, by id."""
+        other = copy.copy(self)
+        other.scores = np.asarray(scores, float)
+        other.unknown = float(other.scores[self.usual].min()) - UNKNOWN
+        other.name = f"{self.name}#{xxhash.xxh3_128_hexdigest(other.scores.tobytes())}"
+        return other
+
 
 def read_vocabulary(path: str = MODEL) -> Vocabulary:
+    """Pieces with the scores of the file, which are merge ranks in a BPE model; see `fitted`."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -185,37 +211,34 @@ class Encoder:
         self.vocabulary = vocabulary
         self.known: dict[str, bytes] = {}
 
-    def _learn(self, units: Iterable[str]) -> dict[str, bytes]:
+    def _learn(self, units: set[str]) -> dict[str, bytes]:
         """Paths of units that are not kept; they are kept as far as the bound allows."""
-        new = sorted(set(units) - self.known.keys(), key=len)
-        found: dict[str, bytes] = {}
-        short: list[tuple[str, bytes]] = []
-        for unit in new:
-            if unit == MARKER:
-                found[unit] = self.vocabulary.byte_ids[list(_MARK)].tobytes()
-                continue
-            raw = unit.replace(" ", MARKER).encode()
-            if len(raw) <= SHORT:
-                short.append((unit, raw))
-            else:
-                found[unit] = long_path(raw, self.vocabulary)
-        for at in range(0, len(short), 4096):
-            part = short[at : at + 4096]
-            found.update(zip((u for u, _ in part), best_paths([raw for _, raw in part], self.vocabulary), strict=True))
+        missing, found = units.difference(self.known), {}
+        if MARKER in missing:
+            missing.remove(MARKER)
+            found[MARKER] = self.vocabulary.byte_ids[list(_MARK)].tobytes()
+        new = sorted(missing, key=len)
+        raw = [u.replace(" ", MARKER).encode() for u in new]
+        fits = [len(r) <= SHORT for r in raw]
+        found.update((u, long_path(r, self.vocabulary)) for u, r, f in zip(new, raw, fits, strict=True) if not f)
+        new, raw = list(compress(new, fits)), list(compress(raw, fits))
+        for at in range(0, len(new), 4096):
+            found.update(zip(new[at : at + 4096], best_paths(raw[at : at + 4096], self.vocabulary), strict=True))
         if len(self.known) + len(found) > KEPT:
             self.known = {}
-        self.known.update(x for x in list(found.items())[:KEPT])
+        self.known.update(found if len(found) <= KEPT else islice(found.items(), KEPT))
         return found
 
     def encode(self, texts: list[str | None]) -> list[bytes | None]:
         """Ids of each text as 32-bit numbers in a byte string."""
         cut = [None if t is None else _UNIT.findall(" " + t) if t else [] for t in texts]
         kept = self.known
-        found = self._learn(u for units in cut if units for u in units)
+        found = self._learn(set().union(*filter(None, cut)))
         # `kept` may have been given up for room: what this call needs is in it or in `found`.
         look = {**kept, **found} if kept is not self.known else self.known
-        missing = found if len(found) > KEPT else {}
-        return [None if units is None else b"".join([look.get(u) or missing[u] for u in units]) for units in cut]
+        if len(found) > KEPT:
+            look = {**look, **found}
+        return [None if units is None else b"".join(map(look.__getitem__, units)) for units in cut]
 
 
 def decode(ids: Iterable[int], vocabulary: Vocabulary) -> str:
@@ -229,6 +252,7 @@ _encoders: dict[str, Encoder] = {}
 
 def _encoder(vocabulary: Vocabulary) -> Encoder:
     if vocabulary.name not in _encoders:
+        _encoders.clear()  # of other scores: they would not be used again
         _encoders[vocabulary.name] = Encoder(vocabulary)
     return _encoders[vocabulary.name]
 
@@ -237,9 +261,77 @@ def _encoder(vocabulary: Vocabulary) -> Encoder:
 GROUP = 200
 
 
-def encode_documents(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
-    """``docs`` with pieces (ids), n_pieces, and restored: whether decoding gives the text back."""
+def unit_counts(docs: DataFrame) -> DataFrame:
+    """(unit, n): how often each unit, with markers for spaces, stands in the texts."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter = Counter()
+        read = 0
+
+        def rows() -> pa.RecordBatch:
+            units = [u.replace(" ", MARKER) for u in total]
+            return pa.RecordBatch.from_arrays([pa.array(units, pa.string()), pa.array(list(total.values()), pa.int64())], names=["unit", "n"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, GROUP):
+                for text in batch.column("text").slice(at, GROUP).to_pylist():
+                    if text:
+                        units = _UNIT.findall(" " + text)
+                        total.update(u for u in units if u != MARKER) if MARKER in text else total.update(units)
+                        read += len(text)
+                    if len(total) > 2 * KEPT or read > COUNTED:
+                        yield rows()
+                        total, read = Counter(), 0
+        yield rows()
+
+    return docs.select("text").mapInArrow(counted, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+
+
+def piece_counts(units: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+    """How often each piece, by id, stands on the best paths of all units."""
+    size = len(vocabulary.scores)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            raw = [u.encode() for u in batch.column("unit").to_pylist()]
+            n = batch.column("n").to_numpy()
+            order = sorted((i for i in range(len(raw)) if len(raw[i]) <= SHORT), key=lambda i: len(raw[i]))
+            groups = [order[at : at + 4096] for at in range(0, len(order), 4096)]
+            done = [(g, best_paths([raw[i] for i in g], vocabulary)) for g in groups]
+            done += [([i], [long_path(u, vocabulary)]) for i, u in enumerate(raw) if len(u) > SHORT]
+            for group, paths in done:
+                often = np.repeat(n[group], [len(p) // 4 for p in paths])
+                total += np.bincount(np.frombuffer(b"".join(paths), np.int32), often, size)
+        there = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), pa.array(total[there].astype(np.int64))], names=["piece", "n"])
+
+    rows = units.mapInArrow(counted, "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()
+    out = np.zeros(size)
+    for r in rows:
+        out[r["piece"]] = r["n"]
+    return out
+
+
+def fitted(docs: DataFrame, vocabulary: Vocabulary | None = None) -> Vocabulary:
+    """``vocabulary`` with the log frequencies of its pieces in all texts as scores."""
     vocabulary = vocabulary or read_vocabulary()
+    units = materialize(unit_counts(docs), "piece-units")
+    usual = vocabulary.usual
+    scores = np.zeros(len(vocabulary.scores))
+    # Fewest pieces first; the order of merges weighs too little to make up for a piece more.
+    scores[usual[np.argsort(-vocabulary.scores[usual], kind="stable")]] = -1 - 1e-3 * np.arange(len(usual)) / len(usual)
+    for _ in range(FITS):
+        n = piece_counts(units, vocabulary.with_scores(scores))[usual] + 1
+        scores[usual] = np.log(n / n.sum())
+    return vocabulary.with_scores(scores)
+
+
+def encode_documents(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
+    """``docs`` with pieces (ids), n_pieces, and restored: whether decoding gives the text back.
+
+    Without a vocabulary the public one is fitted to ``docs``."""
+    vocabulary = vocabulary or fitted(docs)
     added = {"pieces", "n_pieces", "restored"}
     docs = docs.select(*[F.col(c) for c in docs.columns if c not in added])
 

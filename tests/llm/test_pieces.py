@@ -110,3 +110,29 @@ def test_trie_holds_its_strings_and_no_others():
             state, there = trie.step(state, np.array([c]))
             alive = alive and bool(there[0])
         assert (int(trie.value[state[0]]) if alive else -1) == strings.get(w, -1)
+
+
+def test_fitted_scores_keep_ordinary_words_whole(spark):
+    """Sums of merge ranks cut both lines into 15 pieces; log frequencies do not, whether the words occur or not."""
+    lines = ["international organization of governments", "unfortunately distributed systems"]
+    known = spark.createDataFrame([(i, lines[i % 2] + "\n        indented") for i in range(50)], "doc_id long, text string").repartition(3)
+    for docs in (known, documents(spark, "/root/testdata/sf0.001")):
+        v = pieces.fitted(docs)
+        assert (v.scores[v.usual] < 0).all() and np.isclose(np.exp(v.scores[v.usual]).sum(), 1)
+        sizes = [len(x) // 4 for x in pieces.Encoder(v).encode(lines)]
+        assert sizes[0] <= 5 and sizes[1] <= 4
+        eight = np.frombuffer(pieces.Encoder(v).encode(["        indented"])[0], np.int32).tolist()
+        assert len(eight) <= 5
+    rows = pieces.encode_documents(known).collect()
+    assert all(r.restored and r.n_pieces <= 12 for r in rows)
+
+
+def test_pieces_are_counted_over_all_documents(spark):
+    v = small()
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["ab ab", "ba", "abaz ▁", None, "", "ab" * 40])], "doc_id long, text string").repartition(4)
+    units = {r.unit: r.n for r in pieces.unit_counts(docs).collect()}
+    assert units == {"▁ab": 2, "▁ba": 1, "▁abaz": 1, "▁": 1, "▁" + "ab" * 40: 1}
+    plain = np.zeros(len(v.scores))
+    for unit, n in units.items():
+        np.add.at(plain, np.frombuffer(pieces.long_path(unit.encode(), v), np.int32), n)
+    assert pieces.piece_counts(pieces.unit_counts(docs), v).tolist() == plain.tolist()
