@@ -15,7 +15,8 @@ proportion to its size, and no pair is written for it.
 A link is missed only where two vectors meet in no table (see `recall` in the tests; at a cosine of
 0.93 the expected recall is above 0.99). Null labels or ids, null or zero vectors, and vectors with null or
 non-finite components link with nothing; so do vectors of different lengths. An id that repeats is a
-vector each time.
+vector each time: inside, vectors are named by a hash of label, length and components, and the least
+id of each is carried along as a value.
 """
 
 from __future__ import annotations
@@ -118,11 +119,11 @@ def _first_cells(reps: DataFrame) -> DataFrame:
                 cell = cells(_vectors(part.column("v")), 0, 1, _label_seed(part.column("label").to_pylist()))[:, 0]
                 yield part.append_column("cell", pa.array(cell))
 
-    return reps.mapInArrow(found, "rep long, label string, dim int, v binary, n long, cell long")
+    return reps.mapInArrow(found, "rep long, label string, dim int, v binary, n long, least long, cell long")
 
 
 def _grouped(reps: DataFrame, reach: float) -> DataFrame:
-    """rep, label, dim, v, n, group, angle (to the group's centre)."""
+    """rep, label, dim, v, n, least, group, angle (to the group's centre)."""
     placed = materialize(_first_cells(reps), "vector-cells")
     centres = placed.groupBy("label", "dim", "cell").agg(F.min("rep").alias("centre"), F.min_by("v", "rep").alias("c"))
 
@@ -134,12 +135,12 @@ def _grouped(reps: DataFrame, reach: float) -> DataFrame:
                 angle = np.where(rep == centre, 0.0, np.arccos(np.clip(dots, -1, 1)))
                 near = angle <= reach
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in ("rep", "label", "dim", "v", "n")), pa.array(np.where(near, centre, rep)), pa.array(np.where(near, angle, 0.0))],
-                    names=["rep", "label", "dim", "v", "n", "group", "angle"],
+                    [*(part.column(c) for c in ("rep", "label", "dim", "v", "n", "least")), pa.array(np.where(near, centre, rep)), pa.array(np.where(near, angle, 0.0))],
+                    names=["rep", "label", "dim", "v", "n", "least", "group", "angle"],
                 )
 
     return materialize(
-        placed.join(centres, ["label", "dim", "cell"]).mapInArrow(joined, "rep long, label string, dim int, v binary, n long, group long, angle double"),
+        placed.join(centres, ["label", "dim", "cell"]).mapInArrow(joined, "rep long, label string, dim int, v binary, n long, least long, group long, angle double"),
         "vector-groups",
     )
 
@@ -170,12 +171,14 @@ def near_vectors(
     """vec_id, n_links, component_id, kept: one row per row of ``vectors`` (vec_id, label, embedding)."""
     limit = float(np.arccos(cosine))
     rows = materialize(_normal(vectors), "vectors")
-    reps = rows.where("v IS NOT NULL").groupBy("label", "dim", "key").agg(F.min("vec_id").alias("rep"), F.first("v").alias("v"), F.count(F.lit(1)).alias("n"))
-    members = _grouped(reps.select("rep", "label", "dim", "v", "n"), limit / 2 - SLACK)
+    reps = rows.where("v IS NOT NULL").groupBy("label", "dim", "key").agg(F.min("vec_id").alias("least"), F.first("v").alias("v"), F.count(F.lit(1)).alias("n"))
+    reps = reps.withColumn("rep", F.xxhash64("label", "dim", "key"))
+    members = _grouped(reps.select("rep", "label", "dim", "v", "n", "least"), limit / 2 - SLACK)
     groups = members.groupBy("group").agg(
         F.first("label").alias("label"),
         F.first("dim").alias("dim"),
         F.sum("n").alias("n"),
+        F.min("least").alias("least"),
         F.max("angle").alias("radius"),
         F.max(F.when(F.col("rep") == F.col("group"), F.col("v"))).alias("v"),
     )
@@ -217,6 +220,8 @@ def near_vectors(
     whole = pairs.where("whole").select("a", "b")
     edges = whole.unionByName(single.select("a", "b").distinct())
     component = connected_components(edges)
+    least = component.join(groups.select(F.col("group").alias("node"), "least"), "node").groupBy("component").agg(F.min("least").alias("component_least"))
+    component = component.join(least, "component").select(F.col("node").alias("group"), "component_least")
     totals = groups.select("group", "n")
     to_group = (
         whole.unionByName(whole.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -229,9 +234,9 @@ def near_vectors(
         .groupBy("rep").agg(F.sum("n").alias("from_members"))
     )
     per_group = (
-        totals.join(to_group, "group", "left")
-        .join(component.withColumnRenamed("node", "group"), "group", "left")
-        .select("group", (F.col("n") - 1 + F.coalesce("from_groups", F.lit(0))).alias("links"), F.coalesce("component", "group").alias("component"))
+        groups.select("group", "n", "least").join(to_group, "group", "left")
+        .join(component, "group", "left")
+        .select("group", (F.col("n") - 1 + F.coalesce("from_groups", F.lit(0))).alias("links"), F.coalesce("component_least", "least").alias("component"))
     )
     per_rep = (
         members.select("rep", "group").join(per_group, "group").join(to_rep, "rep", "left")

@@ -80,6 +80,15 @@ def test_empty_table_repeated_and_null_ids(spark):
     assert got == sorted([(1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 0, 3), (None, 0, None)], key=str)
 
 
+def test_one_id_with_several_vectors_and_labels(spark):
+    """Each row is a vector of its own, whatever others carry its id; the plain version goes by rows."""
+    rng = np.random.default_rng(9)
+    v, w = rng.normal(size=(2, 16))
+    rows = [(5, 0, v.tolist()), (5, 1, w.tolist()), (5, 0, w.tolist()), (5, 0, [1.0, 0.0]), (7, 1, w.tolist()), (8, 0, v.tolist()), (9, 0, w.tolist())]
+    rows += [(10, 1, (w + 1e-3 * v).tolist()), (4, 0, (w + 1e-3 * v).tolist()), (5, 0, (v + 0.2 * w).tolist()), (6, 2, v.tolist())]
+    assert answer(spark, rows) == plain(rows)
+
+
 def test_decoded_points_are_the_nearest():
     rng = random.Random(1)
     x = np.array([[rng.uniform(-2, 2) for _ in range(8)] for _ in range(300)])
