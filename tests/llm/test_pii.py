@@ -75,6 +75,21 @@ def test_the_field_carries_labels_to_repeated_words(spark):
     assert found >= 54
 
 
+def test_labels_reach_every_repeat():
+    """A number that a pattern holds once and that stands bare many times: all of a chain of weak links is reached."""
+    import numpy as np
+
+    k = len(pii.LABELS)
+    for repeats in (9, 19, 40):
+        text = "+1 (308) 555-0351 " + " ".join(["so we say that 555-0351 it is"] * repeats)
+        graph = pii.Graph(text, pii.base_spans(text))
+        chain, skip = np.full((k, k), 5.0), np.full((k, k), 0.2) + np.diag([40_000.0] * k)
+        even = np.array([1.0, 1, 1, 1, 1.02])
+        p = pii.Model({s: even * 1e6 for s in set(graph.shapes)}, chain, skip).marginals([graph])
+        bare = [n for n, (a, b) in enumerate(graph.spans) if text[a:b] == "555-0351" and not graph.held[n]]
+        assert len(bare) == repeats and (p[bare].argmax(1) == 4).all() and (p[bare, 4] >= pii.SURE).all()
+
+
 def test_messages_agree_with_sums_over_all_labellings():
     """On a graph without loops message passing is exact."""
     import itertools
