@@ -1,8 +1,8 @@
 """Personal data: exact patterns, and a skip-chain conditional random field that adds to them.
 
 The patterns (`base_spans`) find e-mail addresses, IP addresses, payment cards and phone numbers.
-The field labels words. A node is a word with a digit or an ``@`` or a neighbour of one; any other
-word is O. Neighbouring nodes are linked, and so are distant words of one document that are equal or
+The field labels words. A node is a word with a digit or an ``@``, a word that is the part before the
+``@`` of an address of its document, or a neighbour of one; any other word is O. Neighbouring nodes are linked, and so are distant words of one document that are equal or
 similar (same digits whatever stands between them; an address and its part before the ``@``), each
 with the next of its kind, so a document has no more skip links than words; keys of fewer than ``KEY``
 characters say too little and link nothing. Loopy message passing
@@ -133,6 +133,10 @@ class Graph:
     def __init__(self, text: str, spans: list[tuple[int, int, int]]) -> None:
         words = [m.span() for m in _WORD.finditer(text)]
         marked = [i for i, (a, b) in enumerate(words) if _MARK.search(text, a, b)]
+        before = {likeness_key(text[a:b]) for a, b in (words[i] for i in marked) if "@" in text[a:b]}
+        before = {k for k in before if len(k) >= KEY and not _MARK.search(k)}
+        if before:
+            marked = sorted({*marked, *(i for i, (a, b) in enumerate(words) if likeness_key(text[a:b]) in before)})
         places = sorted({j for i in marked for j in (i - 1, i, i + 1) if 0 <= j < len(words)})
         self.spans = [words[i] for i in places]
         words_at = [text[a:b] for a, b in self.spans]
@@ -151,7 +155,8 @@ class Graph:
         last: dict[str, int] = {}
         self.skip = []
         marked_at = set(marked)
-        keys = [likeness_key(w) if places[n] in marked_at else "" for n, w in enumerate(words_at)]
+        self.marked = [i in marked_at for i in places]
+        keys = [likeness_key(w) if m else "" for w, m in zip(words_at, self.marked, strict=True)]
         labelled = {k for k, label in zip(keys, self.held, strict=True) if label and len(k) >= KEY}
         self.unknown = [not label and k in labelled for k, label in zip(keys, self.held, strict=True)]
         for n, key in enumerate(keys):
@@ -239,7 +244,7 @@ def added_spans(graph: Graph, p: np.ndarray, base: list[tuple[int, int, int]], t
     open_span = None
     for n, (a, b) in enumerate(graph.spans):
         label = int(best[n])
-        if label and p[n, label] >= SURE and not graph.held[n] and _MARK.search(text, a, b):
+        if label and p[n, label] >= SURE and not graph.held[n] and graph.marked[n]:
             while b > a and text[b - 1] in ".,;:!?":
                 b -= 1
             if open_span and n in neighbours and open_span[0] == label - 1:

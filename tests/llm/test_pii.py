@@ -90,6 +90,21 @@ def test_labels_reach_every_repeat():
         assert len(bare) == repeats and (p[bare].argmax(1) == 4).all() and (p[bare, 4] >= pii.SURE).all()
 
 
+def test_an_address_is_linked_to_its_part_before_the_at():
+    """Also where that part has no digit; the field can label it, and leaves the words around it alone."""
+    import numpy as np
+
+    text = "write to jane.doe@x.org today or ask for jane.doe, please"
+    base = pii.base_spans(text)
+    graph = pii.Graph(text, base)
+    words = [text[a:b] for a, b in graph.spans]
+    assert graph.skip == [(words.index("jane.doe@x.org"), words.index("jane.doe,"))]
+    p = np.full((len(words), len(pii.LABELS)), 0.01)
+    p[:, 1] = 0.96
+    at = text.index("jane.doe,")
+    assert pii.added_spans(graph, p, base, text) == [(0, at, at + len("jane.doe"))]
+
+
 def test_messages_agree_with_sums_over_all_labellings():
     """On a graph without loops message passing is exact."""
     import itertools
