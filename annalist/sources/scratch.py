@@ -37,10 +37,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage and fixes non-repeatable values."""
+    return written(df, label)[0]
+
+
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``materialize`` that also gives the table's path, for `discard`."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove one scratch table that nothing reads any more."""
+    _written.remove(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize_counting(df: DataFrame, label: str, condition: str) -> tuple[DataFrame, int]:
