@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annalist.llm import license_scan, line_dedup, mixing, near_vectors, ngram_join, pieces, pii, quality, sharding, winnowing
+from annalist.llm import byte_bpe, importance, license_scan, line_dedup, mixing, near_vectors, ngram_join, pieces, pii, quality, sharding, vector_codes, winnowing
 from annalist.llm.tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +20,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": lambda spark, sf_dir: quality.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels")),
     "op9_mixing": lambda spark, sf_dir: mixing.mixed(documents(spark, sf_dir)),
     "op10_winnowing": lambda spark, sf_dir: winnowing.fingerprints(documents(spark, sf_dir)),
+    "op11_importance": lambda spark, sf_dir: importance.importance(documents(spark, sf_dir), table(spark, sf_dir, "benchmark")),
+    "op12_byte_bpe": lambda spark, sf_dir: byte_bpe.byte_tokens(documents(spark, sf_dir)),
+    "op13_vector_codes": lambda spark, sf_dir: vector_codes.vector_codes(table(spark, sf_dir, "embeddings")),
 }
 
 ORACLES: dict[str, str] = {
@@ -28,4 +31,6 @@ ORACLES: dict[str, str] = {
     "op7_near_vectors": near_vectors.ORACLE,
     "op9_mixing": mixing.ORACLE,
     "op10_winnowing": winnowing.ORACLE,
+    "op11_importance": importance.ORACLE,
+    "op13_vector_codes": vector_codes.ORACLE,
 }
