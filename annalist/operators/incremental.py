@@ -42,12 +42,59 @@ def _rekeyed(changed: DataFrame, known: DataFrame, spec: EntitySpec, sk: str, hi
     return changed.where(F.col(sk).isNotNull()).unionByName(fresh.withColumn(sk, F.col(sk) + highest))
 
 
+def batch_versions(
+    opened: DataFrame, batch: DataFrame, spec: EntitySpec, history: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame, int]:
+    """What the versions of a batch's entities are afterwards, the late entities, and their number.
+
+    ``opened`` holds the open versions before the batch, of its entities at least, with
+    ``last_seen_date``; ``batch`` one row per entity and day.  For an entity whose new days all follow
+    the last day seen these are its open version, now perhaps closed, and the ones after it; for a late
+    one (listed by ``late_keys``) all its versions, rebuilt from ``history``, the snapshots including
+    the batch.
+
+    The late entities are listed first, by one small job.  Without any, which is the usual case, the
+    history is not read.
+    """
+    late, count = materialize_counting(late_keys(opened, batch, spec), "late", "true")
+    if count and history is None:
+        raise ValueError("the batch has late entities; pass the snapshot history to rebuild them")
+    # An open version may show values taken from several of its days, so it takes part by
+    # its stored fingerprint, not by one computed from what it shows.
+    digest = fingerprint(
+        [F.col(c) for c in spec.tracked], spec.separator, spec.null_safe, spec.missing
+    )
+    seeds = opened.join(batch.select(spec.key).distinct(), spec.key, "left_semi").select(
+        F.col(spec.key),
+        F.col("effective_start_date").alias("_day"),
+        F.col("last_seen_date").alias("_seen"),
+        F.struct(*spec.tracked).alias("_now"),
+        F.col("hash_diff").alias("_hash"),
+    )
+    fresh = batch.select(
+        F.col(spec.key),
+        F.col(spec.date).alias("_day"),
+        F.col(spec.date).alias("_seen"),
+        F.struct(*spec.tracked).alias("_now"),
+        digest.alias("_hash"),
+    )
+    states = seeds.unionByName(fresh)
+    if count:
+        states = states.join(late, spec.key, "left_anti")
+    changed = versions_from_states(states, spec, with_last_seen=True)
+    if count:
+        again = one_row_per_day(history.join(late, spec.key, "left_semi"), spec)
+        changed = changed.unionByName(build_versions(again, spec, with_last_seen=True))
+    return changed, late, count
+
+
 def apply_batch(
     dim: DataFrame,
     batch: DataFrame,
     spec: EntitySpec,
     history: DataFrame | None = None,
     sk: str | None = None,
+    highest: int | None = None,
 ) -> DataFrame:
     """The dimension after ``batch``, equal to a full build over all snapshots so far.
 
@@ -59,7 +106,8 @@ def apply_batch(
 
     ``sk`` names the surrogate key of ``dim``, if it has one.  A version that stays, by entity and
     start, keeps its key; a new one gets the next number above the highest, so keys of the
-    published dimension never move.
+    published dimension never move.  Where ``dim`` is only a part of the dimension, ``highest`` is
+    the highest key of all.
 
     The late entities are listed first, by one small job.  Without any, which is the usual
     case, the history is not read.  Whether a list of entities is broadcast is left to Spark's
@@ -72,44 +120,18 @@ def apply_batch(
     if other:
         raise ValueError(f"the dimension has columns that no snapshot gives: {sorted(other)}")
     batch = one_row_per_day(batch, spec)
-    late, count = materialize_counting(late_keys(dim, batch, spec), "late", "true")
-    if count and history is None:
-        raise ValueError("the batch has late entities; pass the snapshot history to rebuild them")
     present = batch.select(spec.key).distinct()
     opened = dim.filter("is_current")
     moving = opened.join(present, spec.key, "left_semi")
     kept = dim.filter(~F.col("is_current"))
-
-    # An open version may show values taken from several of its days, so it takes part by
-    # its stored fingerprint, not by one computed from what it shows.
-    digest = fingerprint(
-        [F.col(c) for c in spec.tracked], spec.separator, spec.null_safe, spec.missing
-    )
-    seeds = moving.select(
-        F.col(spec.key),
-        F.col("effective_start_date").alias("_day"),
-        F.col("last_seen_date").alias("_seen"),
-        F.struct(*spec.tracked).alias("_now"),
-        F.col("hash_diff").alias("_hash"),
-    )
-    fresh = batch.select(
-        F.col(spec.key),
-        F.col(spec.date).alias("_day"),
-        F.col(spec.date).alias("_seen"),
-        F.struct(*spec.tracked).alias("_now"),
-        digest.alias("_hash"),
-    )
-    states, known = seeds.unionByName(fresh), moving
+    changed, late, count = batch_versions(opened, batch, spec, history)
+    known = moving
     if count:
-        states = states.join(late, spec.key, "left_anti")
         known = known.unionByName(kept.join(late, spec.key, "left_semi"))
         kept = kept.join(late, spec.key, "left_anti")
-    changed = versions_from_states(states, spec, with_last_seen=True)
-    if count:
-        again = one_row_per_day(history.join(late, spec.key, "left_semi"), spec)
-        changed = changed.unionByName(build_versions(again, spec, with_last_seen=True))
     if sk:
-        highest = dim.agg(F.max(sk)).first()[0] or 0
+        if highest is None:
+            highest = dim.agg(F.max(sk)).first()[0] or 0
         changed = _rekeyed(changed, known, spec, sk, highest)
     untouched = opened.join(present, spec.key, "left_anti")
     return kept.unionByName(untouched).select(*columns).unionByName(changed.select(*columns))

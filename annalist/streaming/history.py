@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from annalist.operators.conform import keyed_rows, one_row_per_day
-from annalist.operators.incremental import apply_batch
+from annalist.operators.incremental import batch_versions
 from annalist.operators.versions import build_versions
+from annalist.sources.scratch import discard, written
 from annalist.spec import EntitySpec
 from annalist.streaming.ingest import run_id
+from annalist.streaming.segments import SegmentedVersions
 
 COMMIT = "step int, run string, batch long"
 
@@ -23,14 +25,22 @@ class VersionedHistory:
     Steps go on from the last commit of the store, whatever the stream's own batch numbers are: a
     stream that starts again with a fresh checkpoint adds to the history. A batch that Spark repeats
     replaces its own step. A lower batch of a run that has gone further is refused. No table is
-    overwritten while it is read; dimensions before the last ``keep`` steps are removed.
+    overwritten while it is read; steps before the last ``keep`` cannot be read any more.
 
-    Late and corrected days are resolved by ``apply_batch``, which rebuilds only the entities
-    concerned from the stored snapshots.
+    The dimension is kept in segments (``SegmentedVersions``): a batch writes its own snapshots, the
+    versions of its entities that it opened, closed or extended, and a manifest. Only every ``fan``-th
+    batch also merges segments. So the bytes a batch writes follow from the batch and its entities,
+    not from the size of the dimension.
+
+    Late and corrected days are resolved by ``batch_versions``, which rebuilds only the entities
+    concerned from the stored snapshots; their older versions are superseded as a whole.
     """
 
-    def __init__(self, spark: SparkSession, root: str, spec: EntitySpec, keep: int = 2):
+    def __init__(self, spark: SparkSession, root: str, spec: EntitySpec, keep: int = 2, fan: int = 8):
+        if keep < 2:
+            raise ValueError("a repeated batch needs the step before it: keep at least 2")
         self.spark, self.root, self.spec, self.keep = spark, root.rstrip("/"), spec, keep
+        self.versions = SegmentedVersions(spark, f"{root.rstrip('/')}/dimension", spec.key, fan)
 
     def _path(self, kind: str, step: int) -> str:
         return f"{self.root}/{kind}/step={step}"
@@ -47,13 +57,23 @@ class VersionedHistory:
         """The dimension after a step, by default the last one."""
         if step is None:
             step = self.commits()[-1]["step"]
-        return self.spark.read.parquet(self._path("dimension", step))
+        return self.versions.versions(step)
 
     def snapshots(self, step: int) -> DataFrame:
         """Every snapshot row of the steps up to ``step``."""
         stored = self.spark.read.option("basePath", f"{self.root}/snapshots").parquet(f"{self.root}/snapshots")
         return stored.filter(f"step <= {step}").drop("step")
 
+    def _changed(self, fresh: DataFrame, step: int) -> tuple[DataFrame, DataFrame | None]:
+        """The versions that a step's snapshots open, close, extend or build anew, and the entities of the last kind."""
+        rows = one_row_per_day(fresh, self.spec)
+        before = self.versions.manifest(step - 1)
+        opened = self.versions.opened(before, rows.select(self.spec.key).distinct())
+        if opened is None:
+            return build_versions(rows, self.spec, with_last_seen=True), None
+        changed, late, count = batch_versions(opened, rows, self.spec, self.snapshots(step))
+        return changed, late if count else None
+
     def apply(self, rows: DataFrame, batch: int, run: str = "") -> int:
         """Take in a batch and return its step."""
         done = self.commits()
@@ -64,24 +84,18 @@ class VersionedHistory:
         if again and again[0]["step"] < done[-1]["step"]:
             return again[0]["step"]  # it is part of what was built on it
         step = again[0]["step"] if again else (done[-1]["step"] + 1 if done else 0)
-        before = step - 1
         fresh = keyed_rows(rows, self.spec)
         fresh.write.mode("overwrite").parquet(self._path("snapshots", step))
         fresh = self.spark.read.parquet(self._path("snapshots", step))
-        if before < 0:
-            dim = build_versions(one_row_per_day(fresh, self.spec), self.spec, with_last_seen=True)
-        else:
-            dim = apply_batch(self.dimension(before), fresh, self.spec, self.snapshots(step))
-        dim.write.mode("overwrite").parquet(self._path("dimension", step))
+        changed, rebuilt = self._changed(fresh, step)
+        rows, path = written(changed, "versions")  # read for its open and its closed rows
+        self.versions.commit(step, rows, rebuilt)
         record = self.spark.createDataFrame([(step, run, batch)], COMMIT).coalesce(1)
         record.write.mode("overwrite").parquet(self._path("commits", step))
-        self._forget(step - self.keep)
+        discard(self.spark, path)
+        self.versions.forget(step - self.keep, step)
         return step
 
-    def _forget(self, step: int) -> None:
-        old = self.spark._jvm.org.apache.hadoop.fs.Path(self._path("dimension", step))
-        old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
-
 
 def maintain_history(
     stream: DataFrame,

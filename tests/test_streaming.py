@@ -1,8 +1,10 @@
 import datetime as dt
+import random
 
 import pytest
 
 from annalist import EntitySpec
+from annalist.operators import conform
 from annalist.operators.versions import build_versions
 from annalist.streaming import ingest
 from annalist.streaming.history import VersionedHistory, maintain_history
@@ -112,3 +114,77 @@ def test_no_row_is_lost_however_late(spark, tmp_path):
     assert run.lastProgress["batchId"] + 1 == 7 > len(run.recentProgress)
     assert set(landed) == {(k, d, a) for d in days for k, a in (("A", "x"), ("B", "y"))} and len(landed) == 12
     spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
+def size(folder):
+    return sum(f.stat().st_size for f in folder.rglob("*.parquet")) if folder.exists() else 0
+
+
+def random_batches(seed, n, people=8):
+    """Batches in which most days are new, some late, some corrected, some repeated."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        day = 2 + i
+        out.append([(f"P{rng.randrange(people)}", day if rng.random() < 0.7 else rng.randrange(1, day + 1), h, rng.choice("xyz")) for h in range(rng.randrange(1, 7))])
+    return out
+
+
+@pytest.mark.parametrize("seed, fan", [(1, 2), (2, 3)])
+def test_many_steps_with_merges_equal_a_full_build(spark, tmp_path, seed, fan):
+    store = VersionedHistory(spark, str(tmp_path / "store"), SPEC, fan=fan)
+    seen = []
+    for i, batch in enumerate(random_batches(seed, 9)):
+        store.apply(rows(spark, *batch), i)
+        seen += batch
+    full = build_versions(conform.one_row_per_day(rows(spark, *seen), SPEC), SPEC, with_last_seen=True)
+    assert sorted(map(tuple, store.dimension().collect())) == sorted(map(tuple, full.collect()))
+    manifest = store.versions.manifest(8)
+    assert max(s.level for s in manifest) >= 1
+    assert all(sum(s.kind == k and s.level == n for s in manifest) < fan for k in ("open", "closed", "rebuilt") for n in range(9))
+
+
+def test_bytes_written_follow_the_batch_and_not_the_dimension(spark, tmp_path):
+    """One step of ten entities writes as much into a dimension of 20,000 entities as into one of 200."""
+    day, grown = dt.date(2024, 2, 1), {}
+    for people in (200, 20_000):
+        store = VersionedHistory(spark, str(tmp_path / f"store{people}"), SPEC)
+        first = spark.range(people).selectExpr("concat('k', id) AS k", "DATE '2024-01-01' AS d", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS ts", "concat('a', id % 7) AS a")
+        store.apply(first, 0)
+        before = size(tmp_path / f"store{people}" / "dimension")
+        few = first.limit(10).selectExpr("k", f"DATE '{day}' AS d", "ts", "'new' AS a")
+        store.apply(few, 1)
+        grown[people] = size(tmp_path / f"store{people}" / "dimension") - before
+        assert before > 10 * grown[people] or people == 200
+        assert store.dimension().count() == people + 10
+    assert grown[20_000] < 1.2 * grown[200]
+
+
+@pytest.mark.parametrize("where", ["written", "segments", "manifest", "commit"])
+def test_a_step_that_fails_is_done_again(spark, tmp_path, monkeypatch, where):
+    """Whatever a broken step has left behind, readers see the step before and the next try replaces it."""
+    store = VersionedHistory(spark, str(tmp_path / "store"), SPEC, fan=2)
+    batches = random_batches(3, 4)
+    for i, batch in enumerate(batches[:3]):
+        store.apply(rows(spark, *batch), i)
+    before = sorted(map(tuple, store.dimension().collect()))
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        if where == "written":
+            patch.setattr("annalist.streaming.history.written", broken)
+        elif where == "segments":
+            patch.setattr(store.versions, "_merged", broken)
+        elif where == "manifest":
+            merged = store.versions._merged
+            patch.setattr(store.versions, "_merged", lambda *a: merged(*a) and broken())
+        else:
+            patch.setattr(store, "_path", lambda kind, step, path=store._path: broken() if kind == "commits" else path(kind, step))
+        with pytest.raises(RuntimeError, match="lost"):
+            store.apply(rows(spark, *batches[3]), 3)
+    assert sorted(map(tuple, store.dimension().collect())) == before
+    store.apply(rows(spark, *batches[3]), 3)
+    full = build_versions(conform.one_row_per_day(rows(spark, *sum(batches, [])), SPEC), SPEC, with_last_seen=True)
+    assert sorted(map(tuple, store.dimension().collect())) == sorted(map(tuple, full.collect()))
