@@ -2,11 +2,13 @@
 
 A text falls apart into words (pre-tokens) by a fixed pattern. Blocks of documents list their distinct
 words and write every word's place in a text as the word's number in its block. The words of all
-blocks meet in one shuffle on the word, where each distinct one is encoded once; the ids go back to
-the blocks that asked, and a block's documents are put together by position. Texts are read once and
-never shuffled; the numbers of the positions are written once, bucketed by block, and not shuffled
-either. A word as frequent as one likes crosses the network once for each block that holds it, so no
-word holds more rows than there are blocks, and a task of the shuffle gets an even share of them.
+blocks meet in one shuffle on slices of the word's hash, where each distinct one is encoded once; the
+ids go back to the blocks that asked, and a block's documents are put together by position. Texts are
+read once and never shuffled; the numbers of the positions are written once, bucketed by block, and
+not shuffled either. Words of a block that go to one slice travel as one row. A word as frequent as
+one likes crosses the network once for each block that holds it, and slices share the words evenly;
+a task keeps the distinct words of one slice at a time, of which there are ``SLICES`` for each of
+its share.
 
 Words are encoded many at a time, the pair of least rank merged first and the leftmost on ties, as
 ranks demand; a word that is itself an entry is that entry. Pairs are looked up by ids: every way to
@@ -29,6 +31,7 @@ import hashlib
 import heapq
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,8 +51,10 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 BLOCK = 1 << 24
 #: Words of up to this many bytes are encoded many at a time.
 SHORT = 40
-#: Words encoded at once, and words in a row of a block's list.
+#: Words encoded at once.
 GROUP = 4096
+#: Slices of hashes for each partition of the shuffle.
+SLICES = 8
 _NONE = np.iinfo(np.int64).max
 
 
@@ -281,25 +286,36 @@ class _Block:
         return raw.tobytes(), sums[last] - sums[last - n_words]
 
 
-def _blocks(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int) -> DataFrame:
-    """Rows of two kinds: a document (block, row, positions; null for a null text), or words of a block (block, first, words)."""
+def _blocks(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int, slices_: int) -> DataFrame:
+    """Rows of three kinds: a document (slice null; row, positions, null for a null text), words of a
+    block that fall into a slice (slice, sizes, words), and, at slice -1, the numbers of a block's words
+    in the order of these lists (positions)."""
     pattern = vocabulary.pattern
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = Splitter(pattern)
-        task = TaskContext.get().partitionId() << 32
-        block = _Block(task, splitter)
+        block = _Block(TaskContext.get().partitionId() << 32, splitter)
         kind = None
 
         def listed() -> pa.RecordBatch:
-            words = list(block.words)
-            sizes = np.array([min(GROUP, len(words) - at) for at in range(0, len(words), GROUP)], np.int64)
-            n = len(sizes)
-            first = pa.array(np.arange(n, dtype=np.int32) * GROUP)
-            lists = _lists(words, sizes, pa.string()) if n else pa.array([], pa.list_(pa.string()))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, block.number)), pa.nulls(n, kind), pa.nulls(n, pa.binary()), first, lists], names=["block", "row", "positions", "first", "words"]
-            )
+            words = [w.encode() for w in block.words]
+            slice_ = np.fromiter((zlib.crc32(w) % slices_ for w in words), np.int32, len(words))
+            order = np.argsort(slice_, kind="stable")
+            places, n_words = np.unique(slice_[order], return_counts=True)
+            sizes = np.array([len(w) for w in words], np.int64)[order]
+            flat = np.frombuffer(b"".join(words[i] for i in order.tolist()), np.uint8)
+            n_bytes = np.add.reduceat(sizes, np.cumsum(n_words) - n_words) if len(words) else n_words
+            raw, width = _varints(sizes)
+            n_raw = np.add.reduceat(width, np.cumsum(n_words) - n_words) if len(words) else n_words
+            n = len(places)
+            back = np.concatenate([[-1], places]).astype(np.int32)
+            # Numbers rise inside a slice; a smaller one begins the next slice.
+            numbers, size = _varints(_steps(order))
+            columns = [
+                pa.array(np.full(n + 1, block.number)), pa.nulls(n + 1, kind), pa.array([numbers.tobytes()] + [None] * n, pa.binary()), pa.array(back),
+                pa.concat_arrays([pa.nulls(1, pa.binary()), _cut(raw, n_raw)]), pa.concat_arrays([pa.nulls(1, pa.binary()), _cut(flat, n_bytes)]),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=_COLUMNS)
 
         for batch in batches:
             kind = batch.schema.field("row").type
@@ -311,23 +327,39 @@ def _blocks(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int) -> DataFr
                 block.bytes += size
                 texts = part.column("text")
                 raw, sizes = block.positions(texts.to_pylist())
-                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                valid = pc.is_valid(texts)
-                column = pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw)])
-                column = pc.if_else(valid, column, pa.scalar(None, pa.binary()))
+                column = pc.if_else(pc.is_valid(texts), _cut(np.frombuffer(raw, np.uint8), sizes), pa.scalar(None, pa.binary()))
                 n = len(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, block.number)), part.column("row"), column, pa.nulls(n, pa.int32()), pa.nulls(n, pa.list_(pa.string()))],
-                    names=["block", "row", "positions", "first", "words"],
+                    [pa.array(np.full(n, block.number)), part.column("row"), column, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())],
+                    names=_COLUMNS,
                 )
         if kind is not None:
             yield listed()
 
-    schema = StructType([StructField("block", LongType()), StructField("row", docs.schema["row"].dataType), StructField("positions", BinaryType())])
-    schema = schema.add("first", IntegerType()).add("words", ArrayType(StringType()))
+    types = [LongType(), docs.schema["row"].dataType, BinaryType(), IntegerType(), BinaryType(), BinaryType()]
+    schema = StructType([StructField(c, t) for c, t in zip(_COLUMNS, types, strict=True)])
     return docs.select("row", "text").mapInArrow(cut, schema)
 
 
+_COLUMNS = ["block", "row", "positions", "slice", "sizes", "words"]
+
+
+def _steps(order: np.ndarray) -> np.ndarray:
+    """Rising runs of numbers as steps: twice the rise, or, where a run begins, twice the number plus one."""
+    rise = np.diff(order, prepend=-1)
+    return np.where(rise > 0, 2 * rise, 2 * order + 1)
+
+
+def _from_steps(steps: np.ndarray) -> np.ndarray:
+    """The numbers of ``_steps``."""
+    begins = (steps & 1) == 1
+    total = np.cumsum(np.where(begins, 0, steps >> 1))
+    run = np.cumsum(begins)
+    # Before the first beginning a run starts from -1.
+    base = np.concatenate([[-1], (steps >> 1)[begins] - total[begins]])
+    return total + base[run]
+
+
 def _bucketed(df: DataFrame, by: str, buckets: int) -> DataFrame:
     """``df`` written once in ``buckets`` parts by a column, so that it can be grouped without a shuffle."""
     spark = df.sparkSession
@@ -338,36 +370,36 @@ def _bucketed(df: DataFrame, by: str, buckets: int) -> DataFrame:
 
 
 def _encoded_words(words: DataFrame, vocabulary: Vocabulary, parts: int) -> DataFrame:
-    """(block, at, sizes, ids): ids of words of a block, as bytes; ``words`` is (block, at, word)."""
+    """(block, slice, sizes, ids): ids of a block's words of a slice; ``words`` is (block, slice, sizes, words)."""
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[str | None, np.ndarray] = (None, np.zeros(0, np.int64))
+        known: dict[bytes, np.ndarray] = {}
+        last = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            # Rows come in order of words: equal ones are neighbours.
-            distinct = batch.column("word").dictionary_encode()
-            texts = distinct.dictionary.to_pylist()
-            begin = 1 if texts[0] == last[0] else 0  # went on from the batch before
-            ids = ([last[1]] if begin else []) + encode_words([t.encode() for t in texts[begin:]], vocabulary)
-            last = (texts[-1], ids[-1])
-            sizes = np.array([len(x) for x in ids], np.int64)
-            flat, starts = np.concatenate(ids), np.cumsum(sizes) - sizes
-            block = batch.column("block").to_numpy()
-            order = np.argsort(block, kind="stable")
-            word = distinct.indices.to_numpy()[order]
-            blocks, first, n = np.unique(block[order], return_index=True, return_counts=True)
-            of = sizes[word]
-            values = flat[ragged(starts[word], of)].astype(vocabulary.id_type)
-            ends = np.cumsum(of)
-            n_ids = np.add.reduceat(of, first)
-            at = batch.column("at").to_numpy()[order].astype(np.int32)
-            columns = [_cut(at, n), _cut(of.astype(np.int32), n), _cut(values, n_ids)]
-            assert ends[-1] == len(values)
-            yield pa.RecordBatch.from_arrays([pa.array(blocks), *columns], names=["block", "at", "sizes", "ids"])
-
-    dealt = words.repartition(parts, "word").sortWithinPartitions("word")
-    return dealt.mapInArrow(encoded, "block long, at binary, sizes binary, ids binary")
+            places = batch.column("slice").to_numpy()
+            edges = np.flatnonzero(np.diff(places, prepend=-1, append=-1))
+            for at, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                if places[at] != last:
+                    known, last = {}, places[at]  # rows come in order of slices
+                lists = []
+                for sizes, raw in zip(batch.column("sizes").slice(at, end - at).to_pylist(), batch.column("words").slice(at, end - at).to_pylist(), strict=True):
+                    ends = np.cumsum(_numbers(np.frombuffer(sizes, np.uint8))[0]).tolist()
+                    lists.append([raw[a:b] for a, b in zip([0, *ends], ends)])
+                new = list(dict.fromkeys(w for ws in lists for w in ws if w not in known))
+                known.update(zip(new, encode_words(new, vocabulary), strict=True))
+                found = [[known[w] for w in ws] for ws in lists]
+                counts = [np.array([len(x) for x in ids], np.int64) for ids in found]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("block").slice(at, end - at), batch.column("slice").slice(at, end - at),
+                        pa.array([_varints(n)[0].tobytes() for n in counts], pa.binary()),
+                        pa.array([np.concatenate(ids).astype(vocabulary.id_type).tobytes() for ids in found], pa.binary()),
+                    ],
+                    names=["block", "slice", "sizes", "ids"],
+                )
+
+    dealt = words.repartition(parts, "slice").sortWithinPartitions("slice", "block")
+    return dealt.mapInArrow(encoded, "block long, slice int, sizes binary, ids binary")
 
 
 def _cut(values: np.ndarray, counts: np.ndarray) -> pa.Array:
@@ -387,15 +419,18 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary | None = None, bloc
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rest = [c for c in docs.columns if c not in ("text", "tokens", "n_tokens")]
     packed = docs.select(F.struct(F.lit(True).alias("text"), *[F.col(c) for c in rest]).alias("row"), "text")
-    blocks = _bucketed(_blocks(packed, vocabulary, block_bytes), "block", parts)
-    listed = blocks.where("first IS NOT NULL").select("block", "first", F.posexplode("words").alias("k", "word"))
-    ids = _encoded_words(listed.select("block", (F.col("first") + F.col("k")).alias("at"), "word"), vocabulary, parts)
+    blocks = _bucketed(_blocks(packed, vocabulary, block_bytes, SLICES * parts), "block", parts)
+    ids = _encoded_words(blocks.where("slice >= 0").select("block", "slice", "sizes", "words"), vocabulary, parts)
     id_type = vocabulary.id_type
 
     def assembled(left: pa.Table, right: pa.Table) -> pa.Table:
-        at, sizes, flat = _joined(right["at"], np.int32), _joined(right["sizes"], np.int32).astype(np.int64), _joined(right["ids"], id_type)
-        starts, lengths = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-        starts[at], lengths[at] = np.cumsum(sizes) - sizes, sizes
+        right = right.sort_by("slice")
+        listing = pc.equal(pc.fill_null(left["slice"], 0), -1)
+        order = _from_steps(_numbers(_joined(left.filter(listing)["positions"], np.uint8))[0])
+        left = left.filter(pc.invert(listing))
+        sizes, flat = _numbers(_joined(right["sizes"], np.uint8))[0], _joined(right["ids"], id_type)
+        starts, lengths = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+        starts[order], lengths[order] = np.cumsum(sizes) - sizes, sizes
         positions = left["positions"].combine_chunks()
         bounds = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(positions), 0).to_numpy(zero_copy_only=False))])
         word, last = _numbers(np.frombuffer(b"".join(x or b"" for x in positions.to_pylist()), np.uint8))
@@ -407,7 +442,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary | None = None, bloc
         n = sums[ends] - sums[ends - n_words]
         return pa.table({"row": left["row"], "tokens": _lists(tokens, n, pa.int32(), pc.is_null(positions)), "n_tokens": pa.array(n)})
 
-    rows = blocks.where("first IS NULL").select("block", "row", "positions")
+    rows = blocks.where("slice IS NULL OR slice = -1").select("block", "row", "positions", "slice")
     schema = StructType([rows.schema["row"], StructField("tokens", ArrayType(IntegerType())), StructField("n_tokens", LongType())])
     done = rows.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(assembled, schema)
     return done.select(*[F.col("row").getField(c).alias(c) for c in rest], "tokens", "n_tokens")

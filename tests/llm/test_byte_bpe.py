@@ -37,13 +37,13 @@ def test_pieces_split_as_the_whole_text(text):
 def test_words_as_the_library(words):
     words = [w.encode() for w in words]
     for ids, word in zip(bb.encode_words(words, VOCABULARY), words, strict=True):
-        assert ids.tolist() == LIBRARY.encode_single_piece(word)
+        assert ids.tolist() == LIBRARY._encode_single_piece(word)
         assert bb.encode_long(word, VOCABULARY).tolist() == bb.encode_short([word], VOCABULARY)[0].tolist()
 
 
 def test_long_words():
     for word in (b"x" * 30_000, b"ab" * 9_000, "日本語".encode() * 2_000):
-        assert bb.encode_long(word, VOCABULARY).tolist() == LIBRARY.encode_single_piece(word)
+        assert bb.encode_long(word, VOCABULARY).tolist() == LIBRARY._encode_single_piece(word)
 
 
 def test_numbers_come_back():
@@ -54,6 +54,15 @@ def test_numbers_come_back():
     assert bb._numbers(raw)[0].tolist() == n.tolist() and size.sum() == len(raw)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=40))
+def test_order_of_lists_comes_back(slices):
+    import numpy as np
+
+    order = np.argsort(np.array(slices, np.int64), kind="stable")
+    assert bb._from_steps(bb._steps(order)).tolist() == order.tolist()
+
+
 @pytest.mark.parametrize("block", [1, 3000, bb.BLOCK])
 def test_documents_as_the_library(spark, odd, block):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
