@@ -40,7 +40,7 @@ def text_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType()) for c in columns])
 
 
-def _files(spark: SparkSession, path: str) -> list:
+def listed_files(spark: SparkSession, path: str) -> list:
     """Status of the data files behind a path, a folder or a pattern; hidden and empty ones are left out."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -84,7 +84,7 @@ def read_csv(
     reading each file in one task.  ``source_column`` names a column for the path of each row's file.
     """
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for file in _files(spark, path):
+    for file in listed_files(spark, path):
         by_header.setdefault(_header(spark, file), []).append(file.getPath().toString())
     if not by_header:
         raise ContractError(f"no data files in {path}")
