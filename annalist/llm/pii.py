@@ -9,18 +9,27 @@ characters say too little and link nothing. Loopy message passing
 over both kinds of links, until the messages of a document stand still, makes the labels of repeated words agree: a bare number that stands
 elsewhere in full is marked here, too.
 
+A word is described by its shape - letters, punctuation and how many digits stand where - and by what
+the tests of the kinds say about its digits: whether 13 to 19 of them pass Luhn, whether four numbers
+are octets. The description is hashed to one of ``SHAPES`` entries; nothing of a word is cut off.
+
 Training is piecewise and needs no sample: the patterns label the words of all documents, and the
 potentials are smoothed log ratios of counts - of a word's shape with its label, of labels side by
-side, of labels across a skip link. A word that no pattern labels though its like is labelled elsewhere
-in the document has an unknown label and is not counted, so a missed repetition does not teach that
-repetitions differ. Counts are summed per batch and then by Spark; the table of
-shapes keeps the ``SHAPES`` most frequent ones (a bound on the model, rarer shapes share one entry).
-Words inside pattern spans are held at their label; other words get a span when a label other than O
-has at least ``SURE`` probability and no pattern span of that kind is touched.
+side, of labels across a skip link. A word that repeats one a pattern labels elsewhere in the document
+counts with that label, so a missed repetition does not teach that repetitions differ; where the
+kind's own test refuses the word, it counts as O, and where it repeats words of several labels it is
+not counted. Counts are summed per batch and then by Spark.
+
+Words inside pattern spans are held at their label. Another word gets a span when a label other than O
+has at least ``SURE`` probability, the word repeats one that is held at this label (`Graph.likely`), the
+kind's own test does not refuse its digits, and no pattern span of that kind is touched.
 
 A null text is an empty one and has no spans. Repeated rows are labelled alike, each by itself. Work
 on a text is linear in its length for each round of messages; rounds go on while a message changes by
-``STILL`` or more, for four times the nodes of the document at most, as messages in loops may swing.
+``STILL`` or more, for four times the nodes of the document at most, as messages in loops may swing; a
+document that still moves then says so (``settled``). Ties between labels go to the first of ``LABELS``.
+Null and repeated ids are carried along; an empty table gives an empty result; columns other than
+doc_id and text are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -33,12 +42,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from annalist.llm.texts import slices
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *KINDS)
-SHAPES = 20_000
+#: Entries of the table of shapes; rare shapes that meet in one share it.
+SHAPES = 1 << 16
 SURE = 0.9
 #: Rounds between two looks at which documents stand still.
 ROUNDS = 12
@@ -113,9 +126,28 @@ def _run(m: re.Match) -> str:
     return "3" if n < 4 else "4" if n == 4 else "8" if n < 9 else "c" if n < 13 else "k" if n < 20 else "z"
 
 
+_GROUPS = re.compile(r"[0-9]+")
+
+
+def refused(kind: int, word: str) -> bool:
+    """Whether the test of a kind of number refuses the digits of a word."""
+    digits = _NOT_DIGIT.sub("", word)
+    if KINDS[kind] == "ip":
+        groups = [g.lstrip("0") for g in _GROUPS.findall(word)]
+        return len(groups) != 4 or any(len(g) > 3 or int(g or 0) > 255 for g in groups)
+    if KINDS[kind] == "card":
+        return not 13 <= len(digits) <= 19 or not passes_luhn(digits)
+    if KINDS[kind] == "phone":
+        return not 7 <= len(digits) <= 15
+    return False
+
+
 def shape(word: str) -> str:
-    """Letters are one a, digits a mark of how many; punctuation stays, but not at the end."""
-    return _RUNS.sub(_run, word[:64].rstrip(".,;:!?"))[:16]
+    """An entry of the table: letters are one a, digits a mark of how many, and what the tests say; punctuation
+    stays, but not at the end."""
+    word = word.rstrip(".,;:!?")
+    verdict = "".join("-" if refused(k, word) else "+" for k in (1, 2, 3)) if _MARK.search(word) else ""
+    return str(xxhash.xxh3_64_intdigest(f"{_RUNS.sub(_run, word)} {verdict}") % SHAPES)
 
 
 def likeness_key(word: str) -> str:
@@ -152,19 +184,36 @@ class Graph:
                 self.held[n] = by_start[at][2] if by_start[at][1] > a else 0
                 at += 1
         self.chain = [(n, n + 1) for n in range(len(places) - 1) if places[n + 1] == places[n] + 1]
-        last: dict[str, int] = {}
-        self.skip = []
         marked_at = set(marked)
         self.marked = [i in marked_at for i in places]
         keys = [likeness_key(w) if m else "" for w, m in zip(words_at, self.marked, strict=True)]
-        labelled = {k for k, label in zip(keys, self.held, strict=True) if label and len(k) >= KEY}
-        self.unknown = [not label and k in labelled for k, label in zip(keys, self.held, strict=True)]
-        for n, key in enumerate(keys):
-            if len(key) < KEY:
-                continue
-            if key in last:
-                self.skip.append((last[key], n))
-            last[key] = n
+        names = [[k] if len(k) >= KEY else [] for k in keys]
+        # A number of several words can be repeated as one: its digits name its first word, too.
+        node_at = {a: n for n, (a, _) in enumerate(self.spans)}
+        labelled: list[set[str]] = [set() for _ in LABELS]
+        for k, a, b in spans:
+            digits = _NOT_DIGIT.sub("", text[a:b])
+            if KINDS[k] in ("card", "phone") and a in node_at:
+                whole = {digits, digits[-10:]} if KINDS[k] == "phone" and len(digits) > 10 else {digits}
+                names[node_at[a]] += sorted(whole.difference(names[node_at[a]]))
+        for held, known in zip(self.held, names, strict=True):
+            labelled[held].update(known)
+        #: Labels of held words that a word repeats and whose test does not refuse it.
+        self.likely = [
+            frozenset(x for x in range(1, len(LABELS)) if not held and key in labelled[x] and not refused(x - 1, word))
+            for held, key, word in zip(self.held, keys, words_at, strict=True)
+        ]
+        #: Labels for training: that of the pattern, or of the one kind whose held word is repeated; None if of several.
+        self.taught = [held or (0 if not x else next(iter(x)) if len(x) == 1 else None) for held, x in zip(self.held, self.likely, strict=True)]
+        self.settled = True
+        last: dict[str, int] = {}
+        linked = set()
+        for n, known in enumerate(names):
+            for key in known:
+                if key in last:
+                    linked.add((last[key], n))
+                last[key] = n
+        self.skip = sorted(linked)
 
 
 def count(texts: list[str | None]) -> Counter:
@@ -174,9 +223,9 @@ def count(texts: list[str | None]) -> Counter:
         if not text:
             continue
         g = Graph(text, base_spans(text))
-        out.update(("e", s, str(k)) for s, k, u in zip(g.shapes, g.held, g.unknown, strict=True) if not u)
+        out.update(("e", s, str(k)) for s, k in zip(g.shapes, g.taught, strict=True) if k is not None)
         for kind, links in (("c", g.chain), ("s", g.skip)):
-            out.update((kind, str(g.held[a]), str(g.held[b])) for a, b in links if not (g.unknown[a] or g.unknown[b]))
+            out.update((kind, str(g.taught[a]), str(g.taught[b])) for a, b in links if g.taught[a] is not None and g.taught[b] is not None)
     return out
 
 
@@ -226,7 +275,10 @@ class Model:
             rounds += ROUNDS
             moving = np.zeros(len(graphs), bool)
             moving[np.concatenate([of, of])[change >= STILL]] = True
-            moving &= rounds < 4 * np.diff(start)
+            over = moving & (rounds >= 4 * np.diff(start))
+            for i in np.flatnonzero(over):
+                graphs[i].settled = False
+            moving &= ~over
             keep = moving[of]
             a, b, kind, of, messages = a[keep], b[keep], kind[keep], of[keep], messages[np.concatenate([keep, keep])]
         return _normal(belief)
@@ -244,7 +296,7 @@ def added_spans(graph: Graph, p: np.ndarray, base: list[tuple[int, int, int]], t
     open_span = None
     for n, (a, b) in enumerate(graph.spans):
         label = int(best[n])
-        if label and p[n, label] >= SURE and not graph.held[n] and graph.marked[n]:
+        if label in graph.likely[n] and p[n, label] >= SURE and graph.marked[n]:
             while b > a and text[b - 1] in ".,;:!?":
                 b -= 1
             if open_span and n in neighbours and open_span[0] == label - 1:
@@ -268,15 +320,15 @@ def written(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in sorted(spans))
 
 
-def label(texts: list[str | None], model: Model) -> list[tuple[list, list]]:
-    """For each text its pattern spans and the spans the field adds."""
+def label(texts: list[str | None], model: Model) -> list[tuple[list, list, bool]]:
+    """For each text its pattern spans, the spans the field adds, and whether its messages stood still."""
     bases = [base_spans(t) if t else [] for t in texts]
     graphs = [Graph(t, b) if t else None for t, b in zip(texts, bases, strict=True)]
     p = model.marginals([g for g in graphs if g])
     out, at = [], 0
     for text, base, g in zip(texts, bases, graphs, strict=True):
         n = len(g.spans) if g else 0
-        out.append((base, added_spans(g, p[at : at + n], base, text) if n else []))
+        out.append((base, added_spans(g, p[at : at + n], base, text) if n else [], g is None or g.settled))
         at += n
     return out
 
@@ -296,7 +348,8 @@ def train(docs: DataFrame) -> Model:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
         for batch in batches:
-            total.update(count(batch.column("text").to_pylist()))
+            for part in slices(batch):
+                total.update(count(part.column("text").to_pylist()))
         rows = [(*k, n) for k, n in total.items()]
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[i] for r in rows], pa.string()) for i in range(3)] + [pa.array([r[3] for r in rows], pa.int64())],
@@ -306,20 +359,20 @@ def train(docs: DataFrame) -> Model:
     texts = _marked_texts(docs).where("text IS NOT NULL").select("text")
     counts = texts.mapInArrow(counted, "part string, a string, b string, n long").groupBy("part", "a", "b").agg(F.sum("n").alias("n"))
     by_shape = counts.where("part = 'e'").groupBy("a").agg(
-        F.sum("n").alias("all"), *[F.sum(F.when(F.col("b") == str(k), F.col("n"))).alias(f"n{k}") for k in range(len(LABELS))]
+        *[F.sum(F.when(F.col("b") == str(k), F.col("n"))).alias(f"n{k}") for k in range(len(LABELS))]
     )
-    shapes = {r["a"]: np.array([r[f"n{k}"] or 0 for k in range(len(LABELS))], dtype=float) for r in by_shape.orderBy(F.desc("all"), "a").limit(SHAPES).collect()}
+    shapes = {r["a"]: np.array([r[f"n{k}"] or 0 for k in range(len(LABELS))], dtype=float) for r in by_shape.collect()}
     links = {"c": np.zeros((len(LABELS), len(LABELS))), "s": np.zeros((len(LABELS), len(LABELS)))}
     for r in counts.where("part <> 'e'").collect():
         links[r["part"]][int(r["a"]), int(r["b"])] += r["n"]
     return Model(shapes, links["c"], links["s"])
 
 
-SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
+SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, settled boolean"
 
 
 def find_personal_data(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """Per document: doc_id, counts by kind, base_sha256 over the pattern spans, all spans, n_added."""
+    """Per document: doc_id, counts by kind, base_sha256 over the pattern spans, all spans, n_added, settled."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     model = model or train(docs)
 
@@ -328,13 +381,13 @@ def find_personal_data(docs: DataFrame, model: Model | None = None) -> DataFrame
             for at in range(0, batch.num_rows, GROUP):
                 part = batch.slice(at, GROUP)
                 labelled = label(part.column("text").to_pylist(), model)
-                counts = [[sum(k == kind for k, _, _ in base) for base, _ in labelled] for kind in range(len(KINDS))]
-                digests = [hashlib.sha256(written(base).encode()).hexdigest() for base, _ in labelled]
+                counts = [[sum(k == kind for k, _, _ in base) for base, _, _ in labelled] for kind in range(len(KINDS))]
+                digests = [hashlib.sha256(written(base).encode()).hexdigest() for base, _, _ in labelled]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), *(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()),
-                     pa.array([written(base + more) for base, more in labelled], pa.string()),
-                     pa.array([len(more) for _, more in labelled], pa.int64())],
-                    names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"],
+                     pa.array([written(base + more) for base, more, _ in labelled], pa.string()),
+                     pa.array([len(more) for _, more, _ in labelled], pa.int64()), pa.array([still for _, _, still in labelled], pa.bool_())],
+                    names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added", "settled"],
                 )
 
     return _marked_texts(docs).mapInArrow(found, SCHEMA)
