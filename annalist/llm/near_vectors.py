@@ -8,30 +8,38 @@ of each block. Vectors that meet in any table are compared in double precision.
 What is exact at less cost is not compared pair by pair. Equal vectors are one with a count. Vectors
 of one cell within half the angle of the threshold from the cell's first vector form a group: all its
 members are linked. Groups, each with its centre and radius, meet in the cells of all their
-members; by the triangle inequality two groups are linked throughout, not at all, or, close to the
-threshold, member by member. A crowd of nearly equal vectors thus costs rows and comparisons in
-proportion to its size, and no pair is written for it.
+members; by the triangle inequality two groups are linked throughout, not at all, or must be looked
+into. There each member is judged against the other group's centre in the same way, and only members
+that even this leaves open are compared with each other, in blocks inside one task. Written are counts
+per member and one edge per pair of groups, never the pairs. A crowd of nearly equal vectors thus costs
+rows in proportion to its size. Angles are taken from distances, whose error is far below ``SLACK`` at
+any angle; whatever lies within ``SLACK`` of the threshold is judged by the cosine of the two vectors.
 
 A link is missed only where two vectors meet in no table (see `recall` in the tests; at a cosine of
 0.93 the expected recall is above 0.99). Null labels or ids, null or zero vectors, and vectors with null or
 non-finite components link with nothing; so do vectors of different lengths. An id that repeats is a
 vector each time: inside, vectors are named by a hash of label, length and components, and the least
-id of each is carried along as a value.
+id of each is carried along as a value. Very long vectors are judged in parts of few rows. Ties do not arise: a
+component is named by its least id. An empty table gives an empty result; columns other than vec_id,
+label and embedding are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annalist.llm.components import connected_components
 from annalist.llm.e8 import nearest
-from annalist.sources.scratch import materialize
+from annalist.operators.skew import salted_join
+from annalist.sources.scratch import materialize, materialize_counting
 
 COSINE = 0.93
 TABLES = 8
@@ -40,7 +48,10 @@ NEAR = 4
 #: Distance of projected vectors in a block for each unit of distance of the vectors themselves.
 SCALE = 2**0.5
 SEED = 8
+#: Above the error of an angle, which is a few units in the last place.
 SLACK = 1e-9
+#: Members of a group that are compared at once with as many of another.
+CHUNK = 512
 
 _projections: dict[tuple[int, int], np.ndarray] = {}
 
@@ -112,37 +123,54 @@ def _normal(vectors: DataFrame) -> DataFrame:
     return rows.mapInArrow(normal, "vec_id long, label string, dim int, v binary, key string")
 
 
-def _first_cells(reps: DataFrame) -> DataFrame:
+def _first_cells(reps: DataFrame, table: int) -> DataFrame:
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _by_dim(batch):
-                cell = cells(_vectors(part.column("v")), 0, 1, _label_seed(part.column("label").to_pylist()))[:, 0]
+                cell = cells(_vectors(part.column("v")), table, 1, _label_seed(part.column("label").to_pylist()))[:, 0]
                 yield part.append_column("cell", pa.array(cell))
 
     return reps.mapInArrow(found, "rep long, label string, dim int, v binary, n long, least long, cell long")
 
 
-def _grouped(reps: DataFrame, reach: float) -> DataFrame:
-    """rep, label, dim, v, n, least, group, angle (to the group's centre)."""
-    placed = materialize(_first_cells(reps), "vector-cells")
-    centres = placed.groupBy("label", "dim", "cell").agg(F.min("rep").alias("centre"), F.min_by("v", "rep").alias("c"))
+def _angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Angles between unit vectors, row by row, exact near 0 where a cosine says nothing."""
+    half = np.sqrt(((a - b) ** 2).sum(1)) / 2
+    return 2 * np.arcsin(np.minimum(half, 1.0))
+
+
+def _grouped(reps: DataFrame, reach: float, tables: int) -> DataFrame:
+    """rep, label, dim, v, n, least, group, angle (to the group's centre).
+
+    A vector too far from the centre of its cell, as where two crowds share a cell, is tried again with
+    the others left over, in the cells of the next table; what no table groups stays alone.
+    """
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _by_dim(batch):
-                dots = (_vectors(part.column("v")) * _vectors(part.column("c"))).sum(1)
                 rep, centre = (part.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "centre"))
-                angle = np.where(rep == centre, 0.0, np.arccos(np.clip(dots, -1, 1)))
+                angle = np.where(rep == centre, 0.0, _angles(_vectors(part.column("v")), _vectors(part.column("c"))))
                 near = angle <= reach
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in ("rep", "label", "dim", "v", "n", "least")), pa.array(np.where(near, centre, rep)), pa.array(np.where(near, angle, 0.0))],
-                    names=["rep", "label", "dim", "v", "n", "least", "group", "angle"],
+                    [*(part.column(c) for c in ("rep", "label", "dim", "v", "n", "least")), pa.array(np.where(near, centre, rep)), pa.array(np.where(near, angle, 0.0)), pa.array(near)],
+                    names=["rep", "label", "dim", "v", "n", "least", "group", "angle", "near"],
                 )
 
-    return materialize(
-        placed.join(centres, ["label", "dim", "cell"]).mapInArrow(joined, "rep long, label string, dim int, v binary, n long, least long, group long, angle double"),
-        "vector-groups",
-    )
+    done, rest = [], reps
+    for table in range(tables):
+        placed = materialize(_first_cells(rest, table), "vector-cells")
+        centres = placed.groupBy("label", "dim", "cell").agg(F.min("rep").alias("centre"), F.min_by("v", "rep").alias("c"))
+        met = salted_join(placed, centres, ["label", "dim", "cell"])
+        kind = "rep long, label string, dim int, v binary, n long, least long, group long, angle double, near boolean"
+        found, left = materialize_counting(met.mapInArrow(joined, kind), "vector-groups", "NOT near")
+        done.append(found.where("near").drop("near"))
+        rest = found.where("NOT near").select(*reps.columns)
+        if not left:
+            break
+    if left:
+        done.append(found.where("NOT near").drop("near"))
+    return reduce(DataFrame.unionByName, done)
 
 
 def _meetings(members: DataFrame, tables: int, near: int) -> DataFrame:
@@ -165,6 +193,67 @@ def _meetings(members: DataFrame, tables: int, near: int) -> DataFrame:
     return met.select(F.least("group", "h").alias("a"), F.greatest("group", "h").alias("b")).distinct()
 
 
+def _looked_into(pairs: DataFrame, members: DataFrame, groups: DataFrame, cosine: float, limit: float) -> tuple[DataFrame, DataFrame]:
+    """(rep, from_members), the links of a member with members of the other groups of ``pairs``, and the
+    pairs (a, b) with any link."""
+    both = pairs.select(F.col("a").alias("group"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("group"), F.col("a").alias("other")))
+    centres = groups.select(F.col("group").alias("other"), F.col("v").alias("c"), F.col("radius").alias("r"), F.col("n").alias("n_other"))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _by_dim(batch):
+                angle = _angles(_vectors(part.column("v")), _vectors(part.column("c")))
+                r = part.column("r").to_numpy(zero_copy_only=False)
+                every, none = angle + r <= limit - SLACK, angle - r > limit + SLACK
+                keep = pa.array(~none)
+                columns = [part.column(c) for c in ("group", "other", "rep", "n", "n_other", "dim", "v")] + [pa.array(every)]
+                yield pa.RecordBatch.from_arrays([c.filter(keep) for c in columns], names=["group", "other", "rep", "n", "n_other", "dim", "v", "every"])
+
+    theirs = salted_join(members.select("group", "rep", "n", "dim", "v"), both.join(centres, "other"), ["group"])
+    kind = "group long, other long, rep long, n long, n_other long, dim int, v binary, every boolean"
+    judged = materialize(theirs.select("group", "other", "rep", "n", "n_other", "dim", "v", "c", "r").mapInArrow(placed, kind), "vector-judged")
+    # Members linked with all of the other group; the others of that group have these links at least.
+    sure = judged.where("every").groupBy("group", "other").agg(F.sum("n").alias("sure"))
+    unsure = judged.where("NOT every")
+    parts = unsure.groupBy("group", "other").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("parts"))
+    side = F.when(F.col("group") < F.col("other"), "a").otherwise("b")
+    a, b = F.least("group", "other").alias("a"), F.greatest("group", "other").alias("b")
+    of = parts.join(parts.select(F.col("group").alias("other"), F.col("other").alias("group"), F.col("parts").alias("parts_other")), ["group", "other"])
+    chunked = unsure.join(of, ["group", "other"]).withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    chunked = chunked.withColumn("theirs", F.explode(F.sequence(F.lit(0), F.col("parts_other") - 1)))
+    i = F.when(F.col("group") < F.col("other"), F.col("mine")).otherwise(F.col("theirs")).alias("i")
+    j = F.when(F.col("group") < F.col("other"), F.col("theirs")).otherwise(F.col("mine")).alias("j")
+    rows = chunked.select(a, b, i, j, side.alias("side"), "rep", "n", "v")
+
+    def compared(unit: pa.Table) -> pa.Table:
+        sides = [unit.filter(pc.equal(unit["side"], x)) for x in "ab"]
+        if not all(len(x) for x in sides):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "rep": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
+        x, y = (np.frombuffer(b"".join(t["v"].to_pylist()), np.float64).reshape(len(t), -1) for t in sides)
+        n_x, n_y = (t["n"].to_numpy() for t in sides)
+        near = _cosines(x, y) >= cosine
+        links = np.concatenate([near @ n_y, near.T @ n_x])
+        reps = np.concatenate([t["rep"].to_numpy() for t in sides])
+        there = links > 0
+        pair = [np.full(there.sum(), unit[c][0].as_py()) for c in "ab"]
+        return pa.table({"a": pair[0], "b": pair[1], "rep": reps[there], "links": links[there]})
+
+    met = materialize(rows.groupBy("a", "b", "i", "j").applyInArrow(compared, "a long, b long, rep long, links long"), "vector-links")
+    counts = judged.where("every").select("rep", F.col("n_other").alias("links"))
+    counts = counts.unionByName(unsure.join(sure.select(F.col("group").alias("other"), F.col("other").alias("group"), "sure"), ["group", "other"]).select("rep", F.col("sure").alias("links")))
+    counts = counts.unionByName(met.select("rep", "links"))
+    some = judged.where("every").select(a, b).unionByName(met.select("a", "b")).distinct()
+    return counts.groupBy("rep").agg(F.sum("links").alias("from_members")), some
+
+
+def _cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Cosines of all rows of ``x`` with all of ``y``, each summed as for a single pair, whatever the block."""
+    out = np.empty((len(x), len(y)))
+    for k, v in enumerate(x):
+        out[k] = (y * v).sum(1)
+    return out
+
+
 def near_vectors(
     vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES, near: int = NEAR
 ) -> DataFrame:
@@ -173,27 +262,28 @@ def near_vectors(
     rows = materialize(_normal(vectors), "vectors")
     reps = rows.where("v IS NOT NULL").groupBy("label", "dim", "key").agg(F.min("vec_id").alias("least"), F.first("v").alias("v"), F.count(F.lit(1)).alias("n"))
     reps = reps.withColumn("rep", F.xxhash64("label", "dim", "key"))
-    members = _grouped(reps.select("rep", "label", "dim", "v", "n", "least"), limit / 2 - SLACK)
+    members = _grouped(reps.select("rep", "label", "dim", "v", "n", "least"), limit / 2 - SLACK, tables)
     groups = members.groupBy("group").agg(
         F.first("label").alias("label"),
         F.first("dim").alias("dim"),
         F.sum("n").alias("n"),
         F.min("least").alias("least"),
         F.max("angle").alias("radius"),
+        F.count(F.lit(1)).alias("m"),
         F.max(F.when(F.col("rep") == F.col("group"), F.col("v"))).alias("v"),
     )
     groups = materialize(groups, "vector-centres")
 
     def side(name: str) -> DataFrame:
-        return groups.select(*[F.col(c).alias(x) for c, x in (("group", name), ("label", f"label_{name}"), ("dim", f"dim_{name}"), ("radius", f"r_{name}"), ("v", f"v_{name}"))])
+        return groups.select(*[F.col(c).alias(x) for c, x in (("group", name), ("label", f"label_{name}"), ("dim", f"dim_{name}"), ("radius", f"r_{name}"), ("m", f"m_{name}"), ("v", f"v_{name}"))])
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _by_dim(batch):
-                dots = (_vectors(part.column("v_a")) * _vectors(part.column("v_b"))).sum(1)
-                radius = sum(part.column(c).to_numpy(zero_copy_only=False) for c in ("r_a", "r_b"))
-                angle = np.arccos(np.clip(dots, -1, 1))
-                alone = radius == 0
+                a, b = _vectors(part.column("v_a")), _vectors(part.column("v_b"))
+                number = {c: part.column(c).to_numpy(zero_copy_only=False) for c in ("r_a", "r_b", "m_a", "m_b")}
+                radius, angle, dots = number["r_a"] + number["r_b"], _angles(a, b), (a * b).sum(1)
+                alone = (number["m_a"] == 1) & (number["m_b"] == 1)
                 whole = np.where(alone, dots >= cosine, angle + radius <= limit - SLACK)
                 never = np.where(alone, dots < cosine, angle - radius > limit + SLACK)
                 keep = pa.array(~never)
@@ -201,24 +291,10 @@ def near_vectors(
 
     met = _meetings(members, tables, near).join(side("a"), "a").join(side("b"), "b").where("label_a = label_b AND dim_a = dim_b")
     pairs = materialize(met.withColumnRenamed("dim_a", "dim").drop("dim_b", "label_a", "label_b").mapInArrow(judged, "a long, b long, whole boolean"), "vector-pairs")
-
-    def member(name: str) -> DataFrame:
-        return members.select(F.col("group").alias(name), F.col("rep").alias(f"rep_{name}"), F.col("n").alias(f"n_{name}"), F.col("v").alias(f"v_{name}"), *([F.col("dim")] if name == "a" else []))
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _by_dim(batch):
-                dots = (_vectors(part.column("v_a")) * _vectors(part.column("v_b"))).sum(1)
-                keep = pa.array(dots >= cosine)
-                names = ["a", "b", "rep_a", "n_a", "rep_b", "n_b"]
-                yield pa.RecordBatch.from_arrays([part.column(c).filter(keep) for c in names], names=names)
-
-    single = materialize(
-        pairs.where("NOT whole").join(member("a"), "a").join(member("b"), "b").mapInArrow(compared, "a long, b long, rep_a long, n_a long, rep_b long, n_b long"),
-        "vector-links",
-    )
+    open_pairs = pairs.where("NOT whole").select("a", "b")
+    partial, some = _looked_into(open_pairs, members, groups, cosine, limit)
     whole = pairs.where("whole").select("a", "b")
-    edges = whole.unionByName(single.select("a", "b").distinct())
+    edges = whole.unionByName(some)
     component = connected_components(edges)
     least = component.join(groups.select(F.col("group").alias("node"), "least"), "node").groupBy("component").agg(F.min("least").alias("component_least"))
     component = component.join(least, "component").select(F.col("node").alias("group"), "component_least")
@@ -228,18 +304,13 @@ def near_vectors(
         .join(totals.withColumnRenamed("group", "b"), "b")
         .groupBy(F.col("a").alias("group")).agg(F.sum("n").alias("from_groups"))
     )
-    to_rep = (
-        single.select(F.col("rep_a").alias("rep"), F.col("n_b").alias("n"))
-        .unionByName(single.select(F.col("rep_b").alias("rep"), F.col("n_a").alias("n")))
-        .groupBy("rep").agg(F.sum("n").alias("from_members"))
-    )
     per_group = (
         groups.select("group", "n", "least").join(to_group, "group", "left")
         .join(component, "group", "left")
         .select("group", (F.col("n") - 1 + F.coalesce("from_groups", F.lit(0))).alias("links"), F.coalesce("component_least", "least").alias("component"))
     )
     per_rep = (
-        members.select("rep", "group").join(per_group, "group").join(to_rep, "rep", "left")
+        members.select("rep", "group").join(per_group, "group").join(partial, "rep", "left")
         .select("rep", (F.col("links") + F.coalesce("from_members", F.lit(0))).alias("links"), "component")
     )
     by_key = reps.select("label", "dim", "key", "rep").join(per_rep, "rep").select("label", "dim", "key", "links", "component")

@@ -98,3 +98,61 @@ def test_decoded_points_are_the_nearest():
     for root in e8.ROOTS:
         assert (distance <= ((x - (home + root) / 2) ** 2).sum(1) + 1e-9).all()
     assert len(np.unique(e8.ROOTS, axis=0)) == 240 and (distance <= 1 + 1e-9).all()
+
+
+def test_links_just_at_the_threshold(spark):
+    """Two vectors nearly equal and a third just within the threshold of one and just beyond it of the other."""
+    c = 0.93
+    a = np.zeros(16)
+    a[0] = 1.0
+    third = np.zeros(16)
+    third[0], third[1] = c + 1.5e-9, math.sqrt(1 - (c + 1.5e-9) ** 2)
+    b = np.zeros(16)
+    b[0], b[1] = math.cos(1.2e-8), -math.sin(1.2e-8)
+    rows = [(1, 0, a.tolist()), (2, 0, b.tolist()), (3, 0, third.tolist())]
+    out = near_vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect()
+    assert (a @ third >= c) and not b @ third >= c
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in out) == [(1, 2, 1), (2, 1, 1), (3, 1, 1)]
+
+
+def test_many_triples_around_the_threshold(spark):
+    """Vectors in tiny crowds on both sides of the threshold, each triple with a label of its own."""
+    rng, rows = np.random.default_rng(12), []
+    for i in range(400):
+        v = rng.normal(size=16)
+        v /= np.linalg.norm(v)
+        w = around(rng, v, 0.93 + 10.0 ** -rng.integers(2, 13) * rng.choice([-1, 1]))
+        for k, x in enumerate((v, w, v + 10.0 ** -rng.integers(6, 12) * rng.normal(size=16))):
+            rows.append((3 * i + k, i, x.tolist()))
+    expected, wrong = [], 0
+    for i in range(400):
+        units = [np.array(r[2]) / np.linalg.norm(r[2]) for r in rows[3 * i : 3 * i + 3]]
+        expected += [sum(j != k and units[j] @ units[k] >= 0.93 for k in range(3)) for j in range(3)]
+    frame = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>").repartition(4)
+    got = {r.vec_id: r.n_links for r in near_vectors.near_vectors(frame, tables=16).collect()}
+    wrong = sum(got[i] > expected[i] for i in range(1200))
+    assert wrong == 0 and sum(got.values()) >= 0.97 * sum(expected)
+
+
+def test_crowds_on_both_sides_write_no_pairs(spark, monkeypatch):
+    """Counts are those of all pairs, members are compared in blocks, and rows grow with the crowd."""
+    rng = np.random.default_rng(13)
+    v = rng.normal(size=32)
+    v /= np.linalg.norm(v)
+    w = around(rng, v, 0.93)
+    written, rows_of = [], near_vectors.materialize
+
+    def counted(df, label):
+        out = rows_of(df, label)
+        written.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(near_vectors, "materialize", counted)
+    monkeypatch.setattr(near_vectors, "CHUNK", 64)
+    most = {}
+    for size in (150, 300):
+        rows = [(i, 0, around(rng, (v, w)[i % 2], 1 - 1e-7 * rng.random()).tolist()) for i in range(size)]
+        written.clear()
+        assert answer(spark, rows) == plain(rows)
+        most[size] = dict(written)
+    assert 0 < most[300]["vector-judged"] <= 3 * most[150]["vector-judged"] and most[300]["vector-links"] < 2_000
