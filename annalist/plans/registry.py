@@ -45,4 +45,4 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
 
 def load() -> None:
     """Import the modules that register queries."""
-    from annalist.plans import flows, governance, history, measures  # noqa: F401
+    from annalist.plans import flows, governance, history, measures, sweeps  # noqa: F401
