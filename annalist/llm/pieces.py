@@ -16,7 +16,7 @@ marker character that is itself part of a text goes through byte fallback, too.
 Pieces never reach over the place between a character and a marker behind it (checked when the
 vocabulary is read), so a text falls apart into units - spaces with the word behind them - whose
 best paths are independent. Distinct units are encoded many at a time with array operations and
-kept, up to a bound, for the texts that follow; long units take the same steps alone. Work and
+kept, up to a bound in bytes, for the texts of the task that follow; long units take the same steps alone. Work and
 memory for a unit grow linearly with its length.
 
 A null text has null pieces, an empty one none. Repeated rows are encoded alike.
@@ -28,7 +28,7 @@ import copy
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import compress, islice
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +46,12 @@ MARKER = "▁"
 UNKNOWN = 10.0
 #: Units of up to this many bytes are encoded many at a time.
 SHORT = 48
-#: Distinct units a process keeps.
-KEPT = 300_000
+#: Bytes of distinct units and their pieces that a task keeps, with what Python needs to hold them.
+KEPT = 24 << 20
+#: About the bytes of an entry of a dictionary with a text and a byte string, beside their characters.
+ENTRY = 180
+#: Distinct units a task counts before it writes them down.
+UNITS = 250_000
 #: Rounds of counting pieces along best paths.
 FITS = 2
 #: Characters a process reads at most between two writes of its unit counts.
@@ -210,35 +214,33 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
         self.known: dict[str, bytes] = {}
+        self.size = 0
 
-    def _learn(self, units: set[str]) -> dict[str, bytes]:
-        """Paths of units that are not kept; they are kept as far as the bound allows."""
-        missing, found = units.difference(self.known), {}
+    def _paths(self, units: Iterable[str]) -> Iterator[tuple[str, bytes]]:
+        missing = set(units)
         if MARKER in missing:
             missing.remove(MARKER)
-            found[MARKER] = self.vocabulary.byte_ids[list(_MARK)].tobytes()
+            yield MARKER, self.vocabulary.byte_ids[list(_MARK)].tobytes()
         new = sorted(missing, key=len)
         raw = [u.replace(" ", MARKER).encode() for u in new]
         fits = [len(r) <= SHORT for r in raw]
-        found.update((u, long_path(r, self.vocabulary)) for u, r, f in zip(new, raw, fits, strict=True) if not f)
+        yield from ((u, long_path(r, self.vocabulary)) for u, r, f in zip(new, raw, fits, strict=True) if not f)
         new, raw = list(compress(new, fits)), list(compress(raw, fits))
         for at in range(0, len(new), 4096):
-            found.update(zip(new[at : at + 4096], best_paths(raw[at : at + 4096], self.vocabulary), strict=True))
-        if len(self.known) + len(found) > KEPT:
-            self.known = {}
-        self.known.update(found if len(found) <= KEPT else islice(found.items(), KEPT))
-        return found
+            yield from zip(new[at : at + 4096], best_paths(raw[at : at + 4096], self.vocabulary), strict=True)
 
     def encode(self, texts: list[str | None]) -> list[bytes | None]:
         """Ids of each text as 32-bit numbers in a byte string."""
         cut = [None if t is None else _UNIT.findall(" " + t) if t else [] for t in texts]
-        kept = self.known
-        found = self._learn(set().union(*filter(None, cut)))
-        # `kept` may have been given up for room: what this call needs is in it or in `found`.
-        look = {**kept, **found} if kept is not self.known else self.known
-        if len(found) > KEPT:
-            look = {**look, **found}
-        return [None if units is None else b"".join(map(look.__getitem__, units)) for units in cut]
+        units = set().union(*filter(None, cut))
+        for unit, path in self._paths(units.difference(self.known)):
+            self.known[unit] = path
+            self.size += len(unit) + len(path) + ENTRY
+        look = self.known.__getitem__
+        ids = [None if units is None else b"".join(map(look, units)) for units in cut]
+        if self.size > KEPT:
+            self.known, self.size = {}, 0
+        return ids
 
 
 def decode(ids: Iterable[int], vocabulary: Vocabulary) -> str:
@@ -247,16 +249,6 @@ def decode(ids: Iterable[int], vocabulary: Vocabulary) -> str:
     return text[1:].decode("utf-8", "replace") if text.startswith(b" ") else text.decode("utf-8", "replace")
 
 
-_encoders: dict[str, Encoder] = {}
-
-
-def _encoder(vocabulary: Vocabulary) -> Encoder:
-    if vocabulary.name not in _encoders:
-        _encoders.clear()  # of other scores: they would not be used again
-        _encoders[vocabulary.name] = Encoder(vocabulary)
-    return _encoders[vocabulary.name]
-
-
 #: Texts encoded at once.
 GROUP = 200
 
@@ -279,7 +271,7 @@ def unit_counts(docs: DataFrame) -> DataFrame:
                         units = _UNIT.findall(" " + text)
                         total.update(u for u in units if u != MARKER) if MARKER in text else total.update(units)
                         read += len(text)
-                    if len(total) > 2 * KEPT or read > COUNTED:
+                    if len(total) > UNITS or read > COUNTED:
                         yield rows()
                         total, read = Counter(), 0
         yield rows()
@@ -336,7 +328,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary | None = None) -> D
     docs = docs.select(*[F.col(c) for c in docs.columns if c not in added])
 
     def done(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(vocabulary)
+        encoder = Encoder(vocabulary)
         for batch in batches:
             for at in range(0, batch.num_rows, GROUP):
                 part = batch.slice(at, GROUP)

@@ -9,6 +9,20 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows that travel between Spark and Python at once, where the session does not say.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let texts travel in smaller batches than Spark's 10,000 rows, unless the session asks for a size.
+
+    Both sides hold a whole batch outside the heap, each task for itself.
+    """
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
