@@ -3,8 +3,9 @@
 Each round links every larger neighbour of a node to the smallest one it sees (large star) and then
 every smaller neighbour (small star), until each node hangs on the smallest node of its component.
 The number of rounds grows with the logarithm of the longest path. A node's smallest neighbour is
-found by an aggregate and joined back, so a node with very many links is no single task. Links stay
-in tables; the driver sees a count and a checksum.
+found by an aggregate, most of it in the map tasks, and joined back; in that join the links of a node
+meet in one task unless Spark splits it as skewed. Links stay in tables; the driver sees a count and a
+checksum.
 """
 
 from __future__ import annotations

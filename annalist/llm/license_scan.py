@@ -1,21 +1,26 @@
 """License scans: winnowed fingerprints of templates pick candidates, banded alignment measures them.
 
 Words are runs of ASCII letters and digits, lower-cased. Of each template the hashes of ``GRAM`` words in
-a row are winnowed with windows of ``WINDOW`` and put into an inverted index. A document looks up all
-its runs: any ``GRAM + WINDOW - 1`` words it shares with a template contain a fingerprint. Hits of one
-template that lie on about the same diagonal are one candidate, and the words around it are aligned
-with the template (local alignment, a quarter of the template's length but at most ``BAND`` words to
-either side of the diagonal). A finding is
-reported when the aligned words cover at least ``COVERAGE`` of the template; of findings of one template
-that overlap, the one of higher coverage, then the earlier, stays.
+a row are winnowed and put into an inverted index. Window and threshold follow from the coverage that
+counts: where at most a share of ``1 - COVERAGE`` of a template's words is replaced or left out, some run
+of `sure_run` words is untouched, so a window that long keeps a fingerprint of it; and an edit destroys
+``GRAM`` fingerprints at most, so at least `hits_needed` are left. A document looks up all its runs. As
+many hits of a template on about the same diagonal are a candidate, and the words around it are
+aligned with the template: local alignment in a band as wide as the hits lie apart, and a quarter of the
+template's length to either side. All diagonals of a template stay open, so copies may interleave. A
+finding is reported when the aligned words cover at least ``COVERAGE`` of the template (being local, an
+alignment may stop before words that match behind more edits than they are worth); of findings of
+one template that overlap, the one of higher coverage, then the earlier, stays.
 
 The index is a few templates large and is sent to every task; texts stay where they are, whole. A
-null or empty text has no findings. Repeated rows have equal findings. Work on a text is linear in
-its words and hits.
+null or empty text has no findings, an empty table none. Repeated rows have equal findings; null and
+repeated ids are carried along. Work on a text is linear in its words and hits, so very long texts are
+like many short ones. Columns other than doc_id and text are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -27,10 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annalist.llm.templates import NOTICES
+from annalist.llm.texts import slices
 
-GRAM = 3
-WINDOW = 3
-BAND = 12
+GRAM = 2
+#: Words of a template at least; fewer say too little.
+LEAST = 3
 COVERAGE = 0.7
 MATCH, OTHER, GAP = 2, -1, -1
 _WORD = re.compile(rb"[a-z0-9]+")
@@ -42,7 +48,23 @@ def words_of(text: bytes) -> list[bytes]:
 
 def band_of(template: np.ndarray) -> int:
     """Narrow for short templates, so that copies that follow one another stay apart."""
-    return max(2, min(BAND, len(template) // 4))
+    return max(2, len(template) // 4)
+
+
+def edits_allowed(m: int) -> int:
+    """Words of ``m`` that a finding may lack."""
+    return m - math.ceil(COVERAGE * m)
+
+
+def sure_run(m: int) -> int:
+    """Words in a row that some part of a finding has untouched."""
+    e = edits_allowed(m)
+    return -(-(m - e) // (e + 1))
+
+
+def hits_needed(m: int, kept: int) -> int:
+    """Fingerprints, of the ``kept`` ones of a template, that a finding has at least."""
+    return max(1, kept - GRAM * edits_allowed(m))
 
 
 def _stir(x: np.ndarray) -> np.ndarray:
@@ -63,12 +85,12 @@ def runs(ids: np.ndarray) -> np.ndarray:
     return np.where(known, out, 0)
 
 
-def winnowed(values: np.ndarray) -> list[int]:
+def winnowed(values: np.ndarray, window: int) -> list[int]:
     """Places of the least hash of each window, the rightmost on ties."""
     hashes = _stir(values)
     chosen = set()
-    for a in range(max(1, len(hashes) - WINDOW + 1)):
-        part = hashes[a : a + WINDOW]
+    for a in range(max(1, len(hashes) - window + 1)):
+        part = hashes[a : a + window]
         chosen.add(a + len(part) - 1 - int(part[::-1].argmin()))
     return sorted(chosen)
 
@@ -80,14 +102,17 @@ class Index:
         self.names = list(templates)
         self.numbers: dict[bytes, int] = {}
         self.words = []
+        self.needed: list[int] = []
         postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for t, text in enumerate(templates.values()):
             ids = np.array([self.numbers.setdefault(w, len(self.numbers) + 1) for w in words_of(text.encode())], np.int64)
-            if len(ids) < GRAM:
-                raise ValueError(f"template {self.names[t]} has fewer than {GRAM} words")
+            if len(ids) < LEAST:
+                raise ValueError(f"template {self.names[t]} has fewer than {LEAST} words")
             self.words.append(ids)
             values = runs(ids)
-            for at in winnowed(values):
+            kept = winnowed(values, max(1, sure_run(len(ids)) - GRAM + 1))
+            self.needed.append(hits_needed(len(ids), len(kept)))
+            for at in kept:
                 postings[int(values[at])].append((t, at))
         if len(self.numbers) >= 1 << 20:
             raise ValueError("templates have too many distinct words")
@@ -95,30 +120,51 @@ class Index:
         self.postings = [postings[k] for k in self.keys.tolist()]
 
     def candidates(self, ids: np.ndarray) -> list[tuple[int, int, int]]:
-        """(template, diagonal, first hit): hits in order, cut where the diagonal or the place moves on."""
+        """(template, diagonal, half the spread of the hits): enough hits on about one diagonal."""
         values = runs(ids)
         at = np.flatnonzero(values)
         if not len(at):
             return []
         slot = np.minimum(np.searchsorted(self.keys, values[at]), len(self.keys) - 1)
         hit = self.keys[slot] == values[at]
-        out: list[tuple[int, int, int]] = []
-        last: dict[int, tuple[int, int]] = {}
+        diagonals: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for place, key in zip(at[hit].tolist(), slot[hit].tolist(), strict=True):
             for t, template_at in self.postings[key]:
-                diagonal = place - template_at
-                before = last.get(t)
-                if before is None or abs(diagonal - before[0]) > band_of(self.words[t]) // 2 or place - before[1] > 2 * len(self.words[t]):
-                    out.append((t, diagonal, place))
-                    last[t] = (diagonal, place)
-                else:
-                    last[t] = (before[0], place)
-        return out
-
-
-def align(template: np.ndarray, words: np.ndarray, diagonal: int) -> tuple[int, int, int, int, int]:
+                diagonals[t].append((place - template_at, template_at))
+        return [(t, *c) for t, hits in diagonals.items() if len(hits) >= self.needed[t] for c in self._crowded(t, hits)]
+
+    def _crowded(self, t: int, hits: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+        """Middle and half width of the stretches of diagonals with enough different fingerprints.
+
+        Stretches are as wide as the band and overlap by half, so hits that lie closer together than
+        half a band are whole in one of them.
+        """
+        wide, needed = band_of(self.words[t]), self.needed[t]
+        hits = sorted(hits)
+        count: dict[int, int] = defaultdict(int)
+        end = begin = 0
+        while begin < len(hits):
+            first = hits[begin][0]
+            while end < len(hits) and hits[end][0] <= first + wide:
+                count[hits[end][1]] += 1
+                end += 1
+            stop = begin + 1
+            if len(count) >= needed:
+                last = hits[end - 1][0]
+                yield (first + last) // 2, -(-(last - first) // 2)
+                while stop < len(hits) and hits[stop][0] <= first + wide // 2:
+                    stop += 1
+            for _, template_at in hits[begin : min(stop, end)]:
+                count[template_at] -= 1
+                if not count[template_at]:
+                    del count[template_at]
+            begin = stop
+            end = max(end, begin)
+
+
+def align(template: np.ndarray, words: np.ndarray, diagonal: int, spread: int = 0) -> tuple[int, int, int, int, int]:
     """Best local alignment within the band: (matches, template from, to, words from, to); ends exclusive."""
-    m, band = len(template), band_of(template)
+    m, band = len(template), band_of(template) + spread
     width = 2 * band + 1
     score = np.zeros((m + 1, width + 2), np.int32)
     across = np.arange(width) * -GAP
@@ -155,11 +201,12 @@ def scan(text: bytes | None, index: Index) -> list[tuple[str, float, int, int, i
     words = words_of(text or b"")
     ids = np.fromiter((index.numbers.get(w, 0) for w in words), np.int64, len(words))
     best: dict[int, list[tuple[float, int, int, int]]] = defaultdict(list)
-    for t, diagonal, _ in index.candidates(ids):
+    for t, diagonal, spread in index.candidates(ids):
         template = index.words[t]
-        low = max(0, diagonal - 2 * BAND)
-        part = ids[low : diagonal + len(template) + 2 * BAND]
-        matches, _, _, a, b = align(template, part, diagonal - low)
+        beyond = band_of(template) + spread + 1
+        low = max(0, diagonal - beyond)
+        part = ids[low : max(0, diagonal + len(template) + beyond)]
+        matches, _, _, a, b = align(template, part, diagonal - low, spread)
         if matches >= COVERAGE * len(template):
             best[t].append((-matches / len(template), a + low, b + low, matches))
     kept = []
@@ -194,7 +241,8 @@ def scan_documents(docs: DataFrame, templates: dict[str, str] | None = None) ->
         for batch in batches:
             rows = [
                 (doc_id, *f)
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
+                for part in slices(batch)
+                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True)
                 for f in scan(text, index)
             ]
             kinds = (pa.int64(), pa.string(), pa.float64(), *[pa.int32()] * 5)

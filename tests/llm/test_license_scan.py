@@ -82,6 +82,46 @@ def test_awkward_rows(spark, odd, none):
     assert len(rows) == 2 and rows[0] == rows[1]
 
 
+def pays_to_stop(template, ids):
+    """Whether some words at an end, matches and edits together, are worth nothing or less."""
+    worth = [license_scan.MATCH if a == b else license_scan.OTHER for a, b in zip(template, ids, strict=True)]
+    return any(sum(worth[:i]) <= 0 or sum(worth[-i:]) <= 0 for i in range(1, len(worth)) if license_scan.MATCH in (worth[:i] + worth[-i:]))
+
+
 def test_short_templates_are_refused():
     with pytest.raises(ValueError, match="fewer"):
         license_scan.Index({"x": "two words"})
+
+
+def test_a_short_notice_with_one_other_word_is_found():
+    found = {f[0]: f[1] for f in license_scan.scan(b"Some code. Released under an MIT License. More.", INDEX)}
+    assert found["MIT"] == 0.8
+
+
+@pytest.mark.parametrize("name", sorted(NOTICES))
+def test_no_edited_notice_is_missed(name):
+    """Wherever the words of a finding are replaced, the fingerprints left over pick it as a candidate."""
+    rng = random.Random(name)
+    template = license_scan.words_of(NOTICES[name].encode())
+    allowed = license_scan.edits_allowed(len(template))
+    for i in range(200):
+        words = list(template)
+        for at in rng.sample(range(len(words)), rng.randint(max(0, min(allowed, len(words) // 4)), allowed) if i else allowed):
+            words[at] = b"zz" + str(rng.randrange(9)).encode()
+        text = b" ".join([b"aa"] * 7 + words + [b"bb"] * 7)
+        ids = np.array([INDEX.numbers.get(w, 0) for w in words])
+        t = INDEX.names.index(name)
+        left = int((ids == INDEX.words[t]).sum())
+        found = [f for f in license_scan.scan(text, INDEX) if f[0] == name]
+        assert left >= license_scan.COVERAGE * len(template)
+        # A local alignment, whole-matrix or not, may stop before matches that do not pay for the edits between.
+        kept = license_scan.MATCH * left - (len(words) - left)
+        assert found or whole_alignment(INDEX.words[t], ids) >= kept and pays_to_stop(INDEX.words[t], ids)
+
+
+def test_interleaved_and_spread_copies_are_both_found():
+    one, two = NOTICES["ISC-text"].split(), NOTICES["BSD-text"].split()
+    both = [w for i in range(0, 60, 6) for w in one[i : i + 6] + ["x"]]
+    text = " ".join(both[:20] + ["filler"] * 5 + both[20:] + two + ["y"] * 3 + two)
+    found = [f[0] for f in license_scan.scan(text.encode(), INDEX)]
+    assert found.count("BSD-text") == 2 and found.count("ISC-text") == 1
