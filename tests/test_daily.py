@@ -48,22 +48,31 @@ def deliveries(spark, tmp_path_factory):
 
 
 @pytest.fixture(scope="module")
-def expected(spark, deliveries, tmp_path_factory):
+def whole(spark, deliveries, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("expected"))
     for path in deliveries:
         daily.deliver(spark, path, root, buckets=16, documented=True)
-    releases = Releases(spark, root)
-    return {t: state(releases, t) for t in TABLES}
+    return Releases(spark, root)
 
 
-def test_deliveries_give_the_versions_of_a_full_build(spark, deliveries, expected, tmp_path):
+@pytest.fixture(scope="module")
+def expected(whole):
+    return {t: state(whole, t) for t in TABLES}
+
+
+def test_deliveries_give_the_versions_of_a_full_build(spark, deliveries, whole):
     snapshot = hr.silver_snapshot(spark.read.option("header", True).csv([f"{d}/*.csv" for d in deliveries]))
     full = build_versions(snapshot, hr.SPEC, with_last_seen=True)
-    assert expected["versions"] == sorted(expected["versions"])
-    daily.deliver(spark, deliveries[0], str(tmp_path))
-    daily.deliver(spark, deliveries[1], str(tmp_path))
-    got = Releases(spark, str(tmp_path)).read("versions").drop("employee_sk")
+    got = whole.read("versions").drop("employee_sk")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, full.select(got.columns).collect()))
+    dim = whole.read("gold_scd2")
+    assert not {"home_address_line1", "last_seen_date"} & set(dim.columns)
+    assert all("*" in r.phone_number for r in dim.select("phone_number").collect())
+
+
+def test_a_delivery_that_was_taken_in_changes_nothing(spark, deliveries, whole):
+    before = whole.committed()
+    assert daily.deliver(spark, deliveries[0], whole.root) == whole.record(0)["counts"] and whole.committed() == before
 
 
 def test_only_touched_parts_are_written(spark, deliveries, tmp_path):
@@ -77,18 +86,11 @@ def test_only_touched_parts_are_written(spark, deliveries, tmp_path):
         touched = [p for p, (n, _) in after[table].items() if n == 1]
         assert 1 <= len(touched) <= most
         assert all(after[table][p] == before[table][p] for p in before[table] if p not in touched)
-    assert [p for p, (n, _) in sorted(after["gold_daily"].items()) if n == 0] == [] or "2024-02" in after["gold_daily"]
     kept = {r.employee_id: r.employee_sk for r in releases.read("versions").where("is_current").collect()}
     assert all(kept[k] == keys[k] for k in keys if k not in ("E3", "E7"))
 
 
-def test_a_delivery_that_was_taken_in_changes_nothing(spark, deliveries, tmp_path):
-    releases = Releases(spark, str(tmp_path))
-    counts = daily.deliver(spark, deliveries[0], str(tmp_path))
-    assert daily.deliver(spark, deliveries[0], str(tmp_path)) == counts and releases.committed() == [0]
-
-
-@pytest.mark.parametrize("at", [1, 4, 8, 11, "gate", "commit"])
+@pytest.mark.parametrize("at", [5, "commit"])
 def test_a_load_that_breaks_is_repeated(spark, deliveries, expected, tmp_path, monkeypatch, at):
     """Wherever it breaks, readers stay on the release before, and the next try gives the same tables."""
     releases = Releases(spark, str(tmp_path))
@@ -125,10 +127,3 @@ def test_a_refused_delivery_leaves_readers_where_they_were(spark, deliveries, tm
         jobs.run_day(spark, land(spark, tmp_path / "half", bad + rows([1], [60])), layout, rejected=1)
     assert state(Releases(spark, layout.releases), "gold_scd2") == before
     assert jobs.check_job(spark, layout).where("failures > 0").count() == 0
-
-
-def test_documented_tables_hide_what_they_should(spark, expected, deliveries, tmp_path):
-    daily.deliver(spark, deliveries[0], str(tmp_path), documented=True)
-    dim = Releases(spark, str(tmp_path)).read("gold_scd2")
-    assert not {"home_address_line1", "last_seen_date"} & set(dim.columns)
-    assert all("*" in r.phone_number for r in dim.select("phone_number").collect())
