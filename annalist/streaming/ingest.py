@@ -70,7 +70,7 @@ def ingest_fresh(
     fingerprint among them: a correction of the same day differs in it and passes, to be resolved
     later by the tie-break of the snapshot. Nothing is forgotten and nothing is dropped for being
     late, so there is no time limit to choose: each micro-batch is compared with what is stored for
-    the days it touches, and storage is partitioned by day (``date``, one of ``columns``).
+    the days it touches, which the driver lists, and storage is partitioned by day (``date``, one of ``columns``).
 
     A batch that is repeated after a failure replaces its own folder and is not compared with it. A
     fresh checkpoint is another run beside the earlier ones.
@@ -84,8 +84,11 @@ def ingest_fresh(
         fresh = batch.dropDuplicates(list(columns))
         before = stored_rows(spark, path)
         if before is not None:
-            first, last = batch.agg(F.min(date), F.max(date)).first()
-            known = F.col(date).between(F.lit(first), F.lit(last)) | F.col(date).isNull()
+            # The days themselves, not their range: one old row must not read all days since.
+            days = [r[0] for r in batch.select(date).distinct().collect()]
+            known = F.col(date).isin([d for d in days if d is not None])
+            if None in days:
+                known = known | F.col(date).isNull()
             other = (F.col("run") != run) | (F.col("batch") < number)
             before = before.where(other & known).select(*[F.col(c).alias(f"_s_{c}") for c in columns])
             same = [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in columns]
