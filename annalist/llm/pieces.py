@@ -47,7 +47,7 @@ UNKNOWN = 10.0
 #: Units of up to this many bytes are encoded many at a time.
 SHORT = 48
 #: Bytes of distinct units and their pieces that a task keeps, with what Python needs to hold them.
-KEPT = 24 << 20
+KEPT = 64 << 20
 #: About the bytes of an entry of a dictionary with a text and a byte string, beside their characters.
 ENTRY = 180
 #: Distinct units a task counts before it writes them down.
