@@ -6,12 +6,16 @@ those of the largest doc_id that holds them.
 
 Keys are hashed to 128 bits and counted once per document. The hashes of repeated keys are split
 into shards by their first 64 bits; each shard is built, by one task, into a minimal perfect hash
-with arrays of fingerprints (the other 64 bits), counts and last holders. Documents send the hashes
+with arrays of fingerprints (the other 64 bits), counts and last holders. Keys that share their first
+64 bits but not the others stand at the end of the arrays and are looked up by all 128 bits, and a
+document's lines are dropped by all 128 bits. Documents send the hashes
 of their lines, not the lines, to the shard's arrays and probe them there; a fingerprint that
 differs says that the line is not repeated. Shards are cut so that about ``PROBES`` probes come to
 each; where a frequent line makes more, the shard's arrays are given to several tasks and the probes
 are dealt by document. What is dropped goes back to the documents by id.
 
+An empty table gives an empty one. Columns of any name are carried along. A line that stands several
+times in one document counts once; of documents equal in id the ties keep their lines together.
 A null text has one empty line and stays null. Null ids are one id, smaller than all others. Rows
 that repeat an id count as documents of their own and lose or keep a line alike. Texts are handled
 whole, whatever their length.
@@ -20,6 +24,7 @@ whole, whatever their length.
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,10 +54,14 @@ def long_enough(key: bytes) -> bool:
     return sum(b & 0xC0 != 0x80 for b in key) >= MIN_CHARS
 
 
+def digest_of(key: bytes) -> bytes:
+    """128 bits; `hash_of` has them as numbers."""
+    return xxhash.xxh3_128_digest(key)
+
+
 def hash_of(key: bytes) -> tuple[int, int]:
     """Two signed 64-bit halves."""
-    h = xxhash.xxh3_128_intdigest(key)
-    return tuple(x - (x >> 63 << 64) for x in (h >> 64, h & 0xFFFFFFFFFFFFFFFF))
+    return struct.unpack(">qq", digest_of(key))
 
 
 def _line_hashes(docs: DataFrame) -> DataFrame:
@@ -72,23 +81,27 @@ def _line_hashes(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(hashed, "doc_id long, high long, low long")
 
 
-ARRAYS = "shard long, sizes binary, bits binary, fingerprints binary, counts binary, holders binary, unheld binary"
+ARRAYS = "shard long, sizes binary, bits binary, fingerprints binary, counts binary, holders binary, unheld binary, clashing binary"
 
 
 def _build_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    again = rows["high"].duplicated().to_numpy()
     keys = rows["high"].to_numpy(np.int64).view(np.uint64)
-    sizes, packed = build(keys)
-    order = np.argsort(MinimalHash(sizes, packed)(keys))
-    rows = rows.iloc[order]
+    sizes, packed = build(keys[~again])
+    order = np.argsort(MinimalHash(sizes, packed)(keys[~again]))
+    # Keys whose first half is another key's, too, come last, with that half beside them.
+    rows = pd.concat([rows[~again].iloc[order], rows[again]])
+    clashing = rows["high"].to_numpy(np.int64)[len(order) :]
     unheld = rows["holder"].isna().to_numpy()
     holders = rows["holder"].fillna(0).to_numpy(np.int64)
-    parts = [sizes, packed, rows["low"].to_numpy(np.int64), rows["n"].to_numpy(np.int64), holders, unheld]
-    return pd.DataFrame([[key[0], *(x.tobytes() for x in parts)]], columns=["shard", "sizes", "bits", "fingerprints", "counts", "holders", "unheld"])
+    parts = [sizes, packed, rows["low"].to_numpy(np.int64), rows["n"].to_numpy(np.int64), holders, unheld, clashing]
+    names = ["shard", "sizes", "bits", "fingerprints", "counts", "holders", "unheld", "clashing"]
+    return pd.DataFrame([[key[0], *(x.tobytes() for x in parts)]], columns=names)
 
 
 def _probe(probes: pd.DataFrame, arrays: pd.DataFrame) -> pd.DataFrame:
-    """The probes whose line is dropped."""
-    nothing = pd.DataFrame({"doc_id": pd.Series([], dtype="Int64"), "high": pd.Series([], dtype="int64")})
+    """The probes whose line is dropped: doc_id and the hash as bytes."""
+    nothing = pd.DataFrame({"doc_id": pd.Series([], dtype="Int64"), "hash": pd.Series([], dtype="object")})
     if not len(probes) or not len(arrays):
         return nothing
     shard = arrays.iloc[0]
@@ -97,23 +110,31 @@ def _probe(probes: pd.DataFrame, arrays: pd.DataFrame) -> pd.DataFrame:
     number = look(high.view(np.uint64))
     found = number >= 0
     number = np.where(found, number, 0)
-    found &= np.frombuffer(shard["fingerprints"], np.int64)[number] == probes["low"].to_numpy(np.int64)
+    low = probes["low"].to_numpy(np.int64)
+    fingerprints = np.frombuffer(shard["fingerprints"], np.int64)
+    found &= fingerprints[number] == low
+    clashing = np.frombuffer(shard["clashing"], np.int64)
+    for at, first in enumerate(clashing.tolist(), len(fingerprints) - len(clashing)):
+        same = (high == first) & (low == fingerprints[at])
+        number[same], found[same] = at, True
     found &= np.frombuffer(shard["counts"], np.int64)[number] >= MIN_DOCS
     unheld = np.frombuffer(shard["unheld"], bool)[number]
     holder = np.frombuffer(shard["holders"], np.int64)[number]
     absent = probes["doc_id"].isna().to_numpy()
     doc_id = probes["doc_id"].fillna(0).to_numpy(np.int64)
     keeps = np.where(unheld, absent, ~absent & (doc_id == holder))
-    out = probes.loc[found & ~keeps, ["doc_id", "high"]]
-    return out.astype({"doc_id": "Int64"})
+    lost = np.flatnonzero(found & ~keeps)
+    raw = np.stack([high[lost], low[lost]], axis=1).astype(">i8").tobytes()
+    out = probes[["doc_id"]].iloc[lost].astype({"doc_id": "Int64"})
+    out["hash"] = [raw[at : at + 16] for at in range(0, len(raw), 16)]
+    return out
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, drop: the first hash halves of the lines that each document loses."""
+    """doc_id, drop: the hashes of the lines that each document loses."""
     lines = materialize(_line_hashes(docs), "line-hashes")
     counted = lines.groupBy("high", "low").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("holder"))
-    # Keys that share their first half are told apart by the second; the shard holds the more frequent.
-    repeated = counted.where(F.col("n") >= MIN_DOCS).groupBy("high").agg(F.max(F.struct("n", "low", "holder")).alias("x")).select("high", "x.*")
+    repeated = counted.where(F.col("n") >= MIN_DOCS)
     shards = -(-lines.count() // PROBES) or 1
     shard = F.pmod(F.shiftrightunsigned("high", 7), F.lit(shards).cast("long")).alias("shard")
     arrays = materialize(repeated.select("*", shard).groupBy("shard").applyInPandas(_build_shard, ARRAYS), "line-arrays")
@@ -130,18 +151,18 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     hits = (
         probes.select("shard", "part", "doc_id", "high", "low").groupBy("shard", "part")
         .cogroup(spread.drop("parts").groupBy("shard", "part"))
-        .applyInPandas(_probe, "doc_id long, high long")
+        .applyInPandas(_probe, "doc_id long, hash binary")
     )
-    return hits.groupBy("doc_id").agg(F.collect_list("high").alias("drop"))
+    return hits.groupBy("doc_id").agg(F.collect_list("hash").alias("drop"))
 
 
-def cleaned(text: bytes | None, drop: list[int] | None) -> tuple[int, int, bytes]:
+def cleaned(text: bytes | None, drop: list[bytes] | None) -> tuple[int, int, bytes]:
     """(lines, dropped lines, text of the other lines)."""
     lines = (text or b"").split(b"\n")
     if not drop:
         return len(lines), 0, text or b""
     gone = set(drop)
-    kept = [x for x in lines if not (long_enough(key := key_of(x)) and hash_of(key)[0] in gone)]
+    kept = [x for x in lines if not (long_enough(key := key_of(x)) and digest_of(key) in gone)]
     return len(lines), len(lines) - len(kept), b"\n".join(kept)
 
 

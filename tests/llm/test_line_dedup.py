@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -45,3 +46,20 @@ def test_hash_is_minimal_and_perfect(keys):
 def test_length_counts_code_points():
     assert not line_dedup.long_enough("é".encode() * 19) and line_dedup.long_enough("é".encode() * 20)
     assert not line_dedup.long_enough("\U0001f600".encode() * 19) and line_dedup.long_enough("\U0001f600".encode() * 20)
+
+
+def test_lines_that_share_half_their_hash(spark, monkeypatch):
+    """Keys with one first half are told apart by the other, repeated ones and such that are not."""
+
+    def weak(key):
+        return (key[:1] * 8 if key[:1] in b"ab" else b"\x01" * 8) + xxhash.xxh3_64_digest(key)
+
+    monkeypatch.setattr(line_dedup, "digest_of", weak)
+    rows = [(i, "\n".join([f"{c} line that {i % k} share, number {k}" for c in "abcd" for k in (1, 2, 50)])) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = [(d, n, k, hashlib.sha256(t.encode()).hexdigest()) for d, n, k, t in without_lines(rows)]
+    lines = [(i, *line_dedup.hash_of(key)) for i, t in rows for key in {line_dedup.key_of(x) for x in t.encode().split(b"\n")}]
+    monkeypatch.setattr(line_dedup, "_line_hashes", lambda docs: spark.createDataFrame(lines, "doc_id long, high long, low long"))
+    drops = {r.doc_id: r["drop"] for r in line_dedup.dropped_lines(df).collect()}
+    got = [(i, *line_dedup.cleaned(t.encode(), drops.get(i))) for i, t in rows]
+    assert [(d, n, k, hashlib.sha256(t).hexdigest()) for d, n, k, t in got] == want
