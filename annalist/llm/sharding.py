@@ -60,9 +60,20 @@ def _settle(rows: DataFrame, limit: int, low: int, high: int) -> tuple[DataFrame
     return directory, open_cells.select(F.col("shard").alias("cell"))
 
 
-def assign_shards(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """doc_id, bytes, shard, depth, shard_bytes, shard_docs, oversize: one row per document."""
+def numbered(docs: DataFrame, name: str = "row_number") -> DataFrame:
+    """``docs`` written once with a number per row, by which `write_shards` tells rows of equal or null ids apart."""
+    docs = docs.select(*[F.col(c) for c in docs.columns if c != name])
+    return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "shard-numbered")
+
+
+def assign_shards(docs: DataFrame, limit: int = LIMIT, row: str | None = None) -> DataFrame:
+    """doc_id, bytes, shard, depth, shard_bytes, shard_docs, oversize: one row per document.
+
+    ``row`` names a column of `numbered` documents, which is carried along as row_number."""
+    carried = [F.col(row).alias("row_number")] if row else []
+    kept = ["row_number"] if row else []
     rows = docs.select(
+        *carried,
         "doc_id",
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"),
         bits_of(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("bits"),
@@ -70,6 +81,7 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     )
     rows = materialize(rows, "shard-rows")
     large = rows.where(F.col("bytes") > limit).select(
+        *kept,
         "doc_id",
         "bytes",
         F.col("bits").alias("shard"),
@@ -88,7 +100,7 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
         directory = materialize(directory, "shard-directory")
         placed = left.withColumn("cell", cell).join(directory, "cell")
         out = out.unionByName(
-            placed.select("doc_id", "bytes", "shard", "depth", "shard_bytes", "shard_docs", F.lit(False).alias("oversize"))
+            placed.select(*kept, "doc_id", "bytes", "shard", "depth", "shard_bytes", "shard_docs", F.lit(False).alias("oversize"))
         )
         unsettled = materialize(unsettled, "shard-open")
         if unsettled.isEmpty():
@@ -102,14 +114,22 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
         low, high = high + 1, min(used, high + STEP)
 
 
-def write_shards(docs: DataFrame, shards: DataFrame, path: str) -> None:
-    """Write ``docs`` as one folder per shard under ``path``; ids must be unique.
+def write_shards(docs: DataFrame, shards: DataFrame, path: str, row: str = "doc_id") -> None:
+    """Write ``docs`` as one folder per shard under ``path``.
+
+    ``row`` tells rows apart and must be there and distinct, which is checked: the ids, or where ids are
+    null or repeated the column of `numbered`, with ``assign_shards(docs, limit, row)``.
 
-    Each shard is one task's file, and none exceeds the limit but an oversize document.
+    Each shard is one task's file, and none exceeds the limit but an oversize document. A table that fits
+    one shard stands in the folder that Spark names for the empty text.
     """
-    docs = docs.select(*[F.col(c) for c in docs.columns if c != "shard"])
-    placed = docs.join(shards.select("doc_id", "shard"), "doc_id")
-    placed.repartition("shard").write.partitionBy("shard").parquet(path)
+    number = "doc_id" if row == "doc_id" else "row_number"
+    placed = shards.select(F.col(number).alias("_row"), "shard")
+    twice = placed.groupBy("_row").agg(F.count(F.lit(1)).alias("n")).where("_row IS NULL OR n > 1")
+    if not twice.isEmpty():
+        raise ValueError(f"{row} is null or repeated; number the rows and assign shards by the number")
+    left = docs.select(F.col(row).alias("_row"), *[F.col(c) for c in docs.columns if c != "shard" and (c != row or row == "doc_id")])
+    left.join(placed, "_row").drop("_row").repartition("shard").write.partitionBy("shard").parquet(path)
 
 
 def sharded(docs: DataFrame) -> DataFrame:

@@ -1,3 +1,5 @@
+import pytest
+
 from annalist.llm import sharding
 
 
@@ -51,3 +53,18 @@ def test_files_by_shard(spark, tmp_path):
     folders = list((tmp_path / "out").glob("shard=*"))
     assert len(folders) >= 14 and all(len(list(f.glob("*.parquet"))) == 1 for f in folders)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 200
+
+
+def test_files_with_null_and_repeated_ids(spark, odd, tmp_path):
+    """Every row is written once, in the shard it was given, whatever its id."""
+    with pytest.raises(ValueError, match="null or repeated"):
+        sharding.write_shards(odd, sharding.assign_shards(odd, 1_000), str(tmp_path / "no"))
+    rows = sharding.numbered(odd, "at")
+    placed = sharding.assign_shards(rows, 1_000, row="at")
+    sharding.write_shards(rows, placed, str(tmp_path / "out"), row="at")
+    out = spark.read.option("basePath", str(tmp_path / "out")).parquet(str(tmp_path / "out"))
+    read = [(r.doc_id, r.text) for r in out.collect()]
+    assert sorted(read, key=str) == sorted(((r.doc_id, r.text) for r in odd.collect()), key=str)
+    given = {r.shard: r.shard_docs for r in placed.collect()}
+    folders = {f.name.split("=")[1]: f for f in (tmp_path / "out").glob("shard=*")}
+    assert {s: spark.read.parquet(str(f)).count() for s, f in folders.items()} == given
