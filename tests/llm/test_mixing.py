@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 
@@ -95,3 +96,40 @@ def test_targets_against_sharing_again_and_again(spark, sizes):
     got = {r.source: r.target for r in mixing.source_targets(df).collect()}
     want = filled(sizes)
     assert all(math.isclose(got[s], want[s], abs_tol=1e-9) for s in sizes)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_small_sources_with_long_documents_come_within_three_percent(spark, seed):
+    """50 documents a source, sizes from 1 to 20,000 words, most of them short; copies stay between 0 and 3."""
+    rng = random.Random(seed)
+    rows = [(50 * s + i, f"s{s:02}", int(20_000 ** rng.random())) for s in range(20) for i in range(50)]
+    of = {}
+    for r in mixed(spark, rows):
+        of.setdefault(r.source, []).append(r)
+    assert sorted(r.doc_id for x in of.values() for r in x) == list(range(1000))
+    for docs in of.values():
+        assert all(0 <= r.copies <= 3 for r in docs)
+        assert abs(sum(r.size * r.copies for r in docs) / docs[0].target - 1) <= 0.03
+
+
+def test_long_copies_reach_what_can_be_reached():
+    """With short documents behind the long ones any target is reached to a word."""
+    rng = random.Random(8)
+    for _ in range(300):
+        sizes = sorted((rng.randrange(1, 40) for _ in range(rng.randrange(1, 6))), reverse=True) + [1] * 30
+        target = float(sum(n * rng.randrange(4) for n in sizes))
+        got = mixing.long_copies(sizes, sum(sizes), target, rng.random())
+        assert all(0 <= n <= 3 for n in got)
+        assert abs(sum(n * c for n, c in zip(sizes, got, strict=True)) - target) <= 1
+    assert mixing.long_copies([10], 10, 24.0, 0.9) == [2]
+    assert mixing.long_copies([10, 5], 15, 45.0, 0.0) == [3, 3]
+
+
+def test_long_documents_expect_their_share(spark):
+    """Over many offsets a long document is taken as often as its source's target says."""
+    for rate in (0.4, 1.0, 1.7, 2.6):
+        total = [0, 0]
+        for k in range(1000):
+            for i, n in enumerate(mixing.long_copies([100, 90], 5000, rate * 5000, (k + 0.5) / 1000)):
+                total[i] += n / 1000
+        assert all(abs(t - rate) < 0.05 for t in total)
