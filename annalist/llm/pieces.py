@@ -60,6 +60,10 @@ _MARK = MARKER.encode()
 _UNIT = re.compile(r"[\n▁]| *[^ \n▁]+| +")
 
 
+#: Bytes of a character by its first byte.
+_WIDTH = np.repeat([1, 2, 3, 4], [0xC0, 0x20, 0x10, 0x10])
+
+
 class Vocabulary:
     """Pieces with scores; made on the driver and sent to tasks."""
 
@@ -105,72 +109,82 @@ def read_vocabulary(path: str = MODEL) -> Vocabulary:
 
 
 def best_paths(units: list[bytes], vocabulary: Vocabulary) -> list[bytes]:
-    """Ids, as 32-bit numbers in a byte string, of units in which spaces are markers."""
+    """Ids, as 32-bit numbers in a byte string, of units in which spaces are markers.
+
+    All units stand one behind the other. The trie is walked from all their characters at once, a byte
+    further in each step; then the pieces found are tried in the order of their starts within the units,
+    those with the same start, which end in different places, together.
+    """
     trie, scores = vocabulary.trie, vocabulary.scores
     lengths = np.array([len(u) for u in units])
-    wide = int(lengths.max())
-    codes = np.frombuffer(b"".join(u.ljust(wide, b"\0") for u in units), np.uint8).reshape(len(units), wide).astype(np.int64)
-    begins = (codes & 0xC0) != 0x80
-    best = np.full((len(units), wide + 1), -np.inf)
-    best[:, 0] = 0
-    piece = np.full((len(units), wide + 1), -1, np.int32)
-    came = np.zeros((len(units), wide + 1), np.int32)
-    width = np.select([codes < 0x80, codes < 0xE0, codes < 0xF0], [1, 2, 3], 4)
-    for s in range(wide):
-        rows = np.flatnonzero(begins[:, s] & (s < lengths))
-        if not len(rows):
-            continue
-        every, covered = rows, np.zeros(len(units), bool)
-        states = np.zeros(len(rows), np.int64)
-        for e in range(s, min(wide, s + trie.longest)):
-            states, there = trie.step(states, codes[rows, e])
-            there &= e < lengths[rows]
-            rows, states = rows[there], states[there]
-            if not len(rows):
-                break
-            number = trie.value[states]
-            at = np.flatnonzero(number >= 0)
-            if len(at):
-                r, k = rows[at], number[at]
-                covered[r[e + 1 - s == width[r, s]]] = True
-                score = best[r, s] + scores[k]
-                up = score > best[r, e + 1]
-                r = r[up]
-                best[r, e + 1], piece[r, e + 1], came[r, e + 1] = score[up], k[up], s
-        lone = every[~covered[every]]
-        if len(lone):
-            e = np.minimum(s + width[lone, s], lengths[lone])
-            score = best[lone, s] + vocabulary.unknown
-            up = score > best[lone, e]
-            r, e = lone[up], e[up]
-            best[r, e], piece[r, e], came[r, e] = score[up], -1, s
-    return _walked_back(units, lengths, piece, came, vocabulary)
-
-
-def _walked_back(units: list[bytes], lengths: np.ndarray, piece: np.ndarray, came: np.ndarray, vocabulary: Vocabulary) -> list[bytes]:
-    """The ids on the best path of each unit, from the pieces that end at each byte."""
-    every, at = np.arange(len(units)), lengths.copy()
-    columns, starts = [], []
-    while at.any():
-        # A unit that is through stays at byte 0, where -2 says that there is no piece.
-        columns.append(np.where(at > 0, piece[every, at], -2))
-        at = came[every, at]
-        starts.append(at)
-    ids, starts = np.stack(columns[::-1], axis=1), np.stack(starts[::-1], axis=1)
-    plain = ids[ids >= 0].astype(np.int32)
-    ends = np.cumsum((ids >= 0).sum(1)).tolist()
-    raw, out, begin = plain.tobytes(), [], 0
-    for end in ends:
-        out.append(raw[4 * begin : 4 * end])
-        begin = end
-    for i in np.flatnonzero((ids == -1).any(1)):
-        spans = [(k, a) for k, a in zip(ids[i].tolist(), starts[i].tolist(), strict=True) if k != -2]
-        parts = [
-            [k] if k >= 0 else vocabulary.byte_ids[list(units[i][a:b])].tolist()
-            for (k, a), b in zip(spans, [*(a for _, a in spans[1:]), len(units[i])], strict=True)
-        ]
-        out[i] = np.array([x for part in parts for x in part], np.int32).tobytes()
-    return out
+    codes = np.frombuffer(b"".join(units), np.uint8)
+    unit = np.repeat(np.arange(len(units)), lengths)
+    after = np.cumsum(lengths)
+    limit, within = after[unit], np.arange(len(codes)) - (after - lengths)[unit]
+    width = _WIDTH[codes]
+    start = np.flatnonzero((codes & 0xC0) != 0x80)
+    lone = np.zeros(len(codes), bool)
+    lone[start] = True
+    at, state = start, np.zeros(len(start), np.int64)
+    starts, ends, ids = [], [], []
+    while len(start):
+        state, there = trie.step(state, codes[at])
+        start, at, state = start[there], at[there] + 1, state[there]
+        number = trie.value[state]
+        hit = np.flatnonzero(number >= 0)
+        starts.append(start[hit])
+        ends.append(at[hit])
+        ids.append(number[hit])
+        lone[start[hit][at[hit] - start[hit] == width[start[hit]]]] = False
+        more = at < limit[start]
+        start, at, state = start[more], at[more], state[more]
+    # Characters that no piece covers alone.
+    alone = np.flatnonzero(lone)
+    starts = np.concatenate([*starts, alone])
+    ends = np.concatenate([*ends, np.minimum(alone + width[alone], limit[alone])])
+    ids = np.concatenate([*ids, np.full(len(alone), -1)])
+    weights = np.where(ids >= 0, scores[ids], vocabulary.unknown)
+    order = np.argsort(within[starts].astype(np.uint16), kind="stable")
+    starts, ends, ids, weights = starts[order], ends[order], ids[order], weights[order]
+    # A unit of n bytes has n + 1 cells, for the places between its bytes.
+    origin, cell = starts + unit[starts], ends + unit[starts]
+    first, last = after - lengths + np.arange(len(units)), after + np.arange(len(units))
+    best = np.full(len(codes) + len(units), -np.inf)
+    best[first] = 0
+    piece, came = np.full(len(best), -1), np.zeros(len(best), np.int64)
+    cuts = np.cumsum(np.bincount(within[starts])).tolist()
+    for low, high in zip([0, *cuts], cuts, strict=False):
+        score = best[origin[low:high]] + weights[low:high]
+        up = np.flatnonzero(score > best[cell[low:high]])
+        to = cell[low:high][up]
+        best[to], piece[to], came[to] = score[up], ids[low:high][up], origin[low:high][up]
+    return _walked_back(codes, first, last, piece, came, vocabulary)
+
+
+def _walked_back(
+    codes: np.ndarray, first: np.ndarray, last: np.ndarray, piece: np.ndarray, came: np.ndarray, vocabulary: Vocabulary
+) -> list[bytes]:
+    """The ids on the best path of each unit, from the piece that ends in each cell and the cell it starts in."""
+    inside, on_path = np.ones(len(piece), bool), np.zeros(len(piece), bool)
+    inside[first] = False
+    cells = last[inside[last]]
+    while len(cells):
+        on_path[cells] = True
+        cells = came[cells]
+        cells = cells[inside[cells]]
+    cells = np.flatnonzero(on_path)
+    number = np.searchsorted(last, cells)
+    # A character without a piece has an id for each of its bytes.
+    often = np.where(piece[cells] >= 0, 1, cells - came[cells])
+    ids = np.repeat(piece[cells], often)
+    unknown = np.flatnonzero(ids < 0)
+    if len(unknown):
+        begin = np.repeat(came[cells] - number, often)
+        behind = np.arange(len(ids)) - np.repeat(np.cumsum(often) - often, often)
+        ids[unknown] = vocabulary.byte_ids[codes[(begin + behind)[unknown]]]
+    raw = ids.astype(np.int32).tobytes()
+    ends = (4 * np.cumsum(np.bincount(number, often, len(first)))).astype(np.int64).tolist()
+    return [raw[low:high] for low, high in zip([0, *ends], ends, strict=False)]
 
 
 def long_path(unit: bytes, vocabulary: Vocabulary) -> bytes:

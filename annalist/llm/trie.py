@@ -11,7 +11,7 @@ import numpy as np
 
 class DoubleArray:
     def __init__(self, strings: dict[bytes, int]) -> None:
-        self.base, self.check, self.value = _build(strings)
+        self.base, self.check, self.value = (x.astype(np.int32) for x in _build(strings))
         self.longest = max(map(len, strings), default=0)
 
     def step(self, states: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
