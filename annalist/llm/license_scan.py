@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -167,17 +168,27 @@ def align(template: np.ndarray, words: np.ndarray, diagonal: int, spread: int =
     m, band = len(template), band_of(template) + spread
     width = 2 * band + 1
     score = np.zeros((m + 1, width + 2), np.int32)
-    across = np.arange(width) * -GAP
+    across = np.arange(width, dtype=np.int32) * -GAP
     place = np.arange(width) - band + diagonal
+    # The words that any row of the band meets, -1 beyond the ends; row i sees ``width`` of them from i - 1 on.
+    first = diagonal - band
+    met = np.full(m - 1 + width, -1, np.int64)
+    a, b = max(0, first), min(len(words), first + len(met))
+    if a < b:
+        met[a - first : b - first] = words[a:b]
+    gain = np.where(sliding_window_view(met, width) == template[:, None], np.int32(MATCH), np.int32(OTHER))
+    outside = sliding_window_view(met < 0, width)
+    cut = a - first > 0 or b - first < len(met)
     for i in range(1, m + 1):
-        j = place + i - 1
-        inside = (j >= 0) & (j < len(words))
-        same = inside & (words[np.clip(j, 0, len(words) - 1)] == template[i - 1])
         # In band coordinates the diagonal step keeps the column, and the step down comes from the right.
-        best = np.maximum(score[i - 1, 1:-1] + np.where(same, MATCH, OTHER), score[i - 1, 2:] + GAP)
-        best = np.where(inside, np.maximum(best, 0), 0)
+        best = np.maximum(score[i - 1, 1:-1] + gain[i - 1], score[i - 1, 2:] + GAP)
+        np.maximum(best, 0, out=best)
+        if cut:
+            best[outside[i - 1]] = 0
         along = np.maximum.accumulate(best + across) - across
-        score[i, 1:-1] = np.where(inside, np.maximum(best, along), 0)
+        if cut:
+            along[outside[i - 1]] = 0
+        score[i, 1:-1] = along
     i, c = divmod(int(score[:, 1:-1].argmax()), width)
     to_i, to_j, matches = i, int(place[c]) + i, 0
     from_i, from_j = to_i, to_j

@@ -125,3 +125,21 @@ def test_interleaved_and_spread_copies_are_both_found():
     text = " ".join(both[:20] + ["filler"] * 5 + both[20:] + two + ["y"] * 3 + two)
     found = [f[0] for f in license_scan.scan(text.encode(), INDEX)]
     assert found.count("BSD-text") == 2 and found.count("ISC-text") == 1
+
+
+def test_alignment_reads_its_words_in_one_piece():
+    """Gathering them row by row took most of the scan's time."""
+    gathered = []
+
+    class Words(np.ndarray):
+        def __getitem__(self, at):
+            gathered.extend([at] if isinstance(at, np.ndarray) else [])
+            return super().__getitem__(at)
+
+    template = np.arange(1, 41, dtype=np.int64)
+    words = np.concatenate([np.zeros(5, np.int64), template, np.zeros(3, np.int64)]).view(Words)
+    assert license_scan.align(template, words, 5) == (40, 0, 40, 5, 45)
+    # Bands that begin before the words and end behind them.
+    assert license_scan.align(template, words[5:25], 0) == (20, 0, 20, 0, 20)
+    assert license_scan.align(template, words[25:45], -20) == (20, 20, 40, 0, 20)
+    assert not gathered
