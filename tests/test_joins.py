@@ -150,3 +150,32 @@ def test_as_of_lookup_with_a_hot_key_and_missing_keys(spark):
         assert out.columns == ["id", "who", "d", "v"] and {r.id: r.v for r in out.collect()} == want
         inner = asof.as_of_versions(df, dim, "who", "d", "k", ["v"], "inner", hot_rows=hot)
         assert {r.id: r.v for r in inner.collect()} == {i: v for i, v in want.items() if v is not None}
+
+
+def test_chain_around_long_cycles_is_listed_by_tasks_of_bounded_size(spark, monkeypatch):
+    """A cycle of 20 with lines that enter it, a root with a line, someone who is their own manager."""
+    monkeypatch.setattr(hierarchy, "BLOCK", 7)
+    monkeypatch.setattr(hierarchy, "ROUND_ROWS", 60)
+    managers = {i: (i + 1) % 20 for i in range(20)} | {100: 5, 101: 100, 102: 101, 103: 19, 200: 201, 202: 200, 300: 300, 301: 300}
+    df = spark.createDataFrame(list(managers.items()) + [(201, None)], "employee_id long, manager_id long")
+    got = hierarchy.reporting_chain(df, "employee_id", "manager_id")
+    expected = []
+    for e in managers:
+        line, at = [], managers[e]
+        while at is not None and at != e and at not in line:
+            line.append(at)
+            at = managers.get(at)
+        expected += [(e, i, a, "root" if at is None else "cycle") for i, a in enumerate(line, 1)]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(expected)
+    spread = {r[0] for r in got.select(F.spark_partition_id()).distinct().collect()}
+    assert len(spread) > 4
+
+
+@pytest.mark.parametrize("twice", [[(1, 2), (1, 2), (2, 3), (3, 1)], [(None, 1), (None, 1), (1, 2), (2, 1)]])
+def test_chain_of_repeated_and_missing_employees(spark, twice):
+    df = spark.createDataFrame(twice, "employee_id long, manager_id long")
+    got = sorted(map(str, hierarchy.reporting_chain(df, "employee_id", "manager_id").collect()))
+    paths = hierarchy.manager_paths(df, "employee_id", "manager_id")
+    rows = paths.select("employee_id", "ends_in", F.posexplode("path").alias("p", "ancestor"))
+    assert got == sorted(map(str, rows.select("employee_id", (F.col("p") + 1).alias("level"), "ancestor", "ends_in").collect()))
+    assert got
