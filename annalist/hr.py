@@ -128,7 +128,9 @@ def static_dimension(base: DataFrame, policy: str = "core", strict: bool = False
     if full:
         columns.append(stable_token("phone_number", salt).alias("phone_token"))
     columns.append(stable_token("tax_id", salt).alias("tax_id_token"))
-    return dense_keys(base.select(*columns), ["employee_id"], "employee_static_sk")
+    # Masks and tokens are built behind the shuffle: once, and by all its tasks, however few files were read.
+    placed = base.repartitionByRange("employee_id").select(*columns)
+    return dense_keys(placed, ["employee_id"], "employee_static_sk", ranged=True)
 
 
 def scd2_dimension(

@@ -14,6 +14,11 @@ from annalist.sources.scratch import materialize
 _ROW_BITS = 33
 
 
+def _sorted_as(values) -> list[tuple]:
+    """Values in Spark's ascending order, in which NULL comes first."""
+    return [(v is not None, v) for v in values]
+
+
 def dense_keys(
     df: DataFrame, order: Sequence[str], name: str, ranged: bool = False
 ) -> DataFrame:
@@ -38,7 +43,7 @@ def dense_keys(
         F.max(F.struct(*order)).alias("high"),
     )
     sizes = sorted(sizes.collect(), key=lambda r: r["_part"])
-    if ranged and any(tuple(a["high"]) >= tuple(b["low"]) for a, b in zip(sizes, sizes[1:])):
+    if ranged and any(_sorted_as(a["high"]) >= _sorted_as(b["low"]) for a, b in zip(sizes, sizes[1:])):
         return dense_keys(placed.drop("_at"), order, name)
     starts = accumulate((r["n"] for r in sizes), initial=0)
     offsets = spark.createDataFrame(
