@@ -3,7 +3,10 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from annalist import hr
+from annalist.operators.keys import dense_keys
 from annalist.operators.quality import QualityError
 from annalist.operators.versions import build_versions
 from annalist.plans import daily, jobs
@@ -127,3 +130,52 @@ def test_a_refused_delivery_leaves_readers_where_they_were(spark, deliveries, tm
         jobs.run_day(spark, land(spark, tmp_path / "half", bad + rows([1], [60])), layout, rejected=1)
     assert state(Releases(spark, layout.releases), "gold_scd2") == before
     assert jobs.check_job(spark, layout).where("failures > 0").count() == 0
+
+
+def test_no_task_grows_with_a_part(spark, tmp_path):
+    """Rows of one part come from several tasks: where they lie, or split by size; a small part is one file."""
+    data = spark.range(0, 40_000, 1, 8).selectExpr("id", "sha2(string(id), 512) AS text")
+    files = {}
+    stage = Releases(spark, str(tmp_path)).stage()
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    for table, gather, limit in (("lying", False, "64m"), ("split", True, "256k"), ("small", True, "64m")):
+        spark.conf.set(size, limit)
+        try:
+            assert stage.put(table, data, F.lit("p"), ["p"], gather) == 40_000
+        finally:
+            spark.conf.unset(size)
+        files[table] = len(list((tmp_path / "tables" / table / "n=0" / "_part=p").glob("*.parquet")))
+        assert stage.read(table).count() == 40_000
+    assert files["lying"] == 8 and files["split"] > 2 and files["small"] == 1
+
+
+def test_buckets_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    assert [jobs.buckets_for(n, 4) for n in (0, 1_000_000, 1_000_001, 54_000_000)] == [4, 4, 8, 216]
+    monkeypatch.setattr(jobs, "BUCKET_ROWS", 10)
+    layout = jobs.Layout(location=str(tmp_path / "tables"), prefix="grown_", buckets=2)
+    folder = land(spark, tmp_path / "csv", rows(range(20), [0, 3]))
+    jobs.bronze_job(spark, folder, layout)
+    jobs.silver_job(spark, layout)
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {layout.name('silver_snapshot')}").collect()}
+    assert told["Num Buckets"] == "4"
+    assert layout.read(spark, "silver_snapshot").count() == 40
+    for table in ("bronze", "silver_snapshot", "silver_base", "silver_events"):
+        spark.sql(f"DROP TABLE {layout.name(table)}")
+
+
+def test_masks_are_built_behind_the_shuffle(spark, monkeypatch):
+    """Not by the few tasks that read the files, and not a second time for the sample of the key's ranges."""
+    placed = []
+    monkeypatch.setattr(hr, "dense_keys", lambda df, order, name, ranged=False: placed.append((df, ranged)))
+    people = spark.createDataFrame(rows([1, 2], [0]), ", ".join(f"{c} string" for c in hr.RAW_COLUMNS))
+    hr.static_dimension(people, policy="full")
+    plan = placed[0][0]._jdf.queryExecution().optimizedPlan().toString()
+    assert placed[0][1] and plan.index("sha2") < plan.index("RepartitionByExpression")
+    assert "sha2" not in plan[plan.index("RepartitionByExpression") :]
+
+
+def test_ranged_keys_where_ranges_of_nulls_come_first(spark):
+    data = spark.createDataFrame([(None,)] * 40 + [(i,) for i in range(40)], "k long").repartitionByRange(4, "k")
+    got = dense_keys(data, ["k"], "sk", ranged=True)
+    found = sorted(got.collect(), key=lambda r: r.sk)
+    assert [r.sk for r in found] == list(range(1, 81)) and [r.k for r in found] == [None] * 40 + list(range(40))
