@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from annalist.operators import hierarchy
 from annalist.operators.skew import hot_keys, salted_join
+from annalist.sources import scratch
 
 
 @pytest.fixture(scope="module")
@@ -179,3 +180,32 @@ def test_chain_of_repeated_and_missing_employees(spark, twice):
     rows = paths.select("employee_id", "ends_in", F.posexplode("path").alias("p", "ancestor"))
     assert got == sorted(map(str, rows.select("employee_id", (F.col("p") + 1).alias("level"), "ancestor", "ends_in").collect()))
     assert got
+
+
+def test_chain_keeps_no_table_of_its_rounds(spark):
+    """Only what the result reads stays: not a table for each doubling of the jumps."""
+    before = len(scratch._written)
+    people = 300
+    df = spark.range(people).select(F.col("id").alias("employee_id"), F.pmod(F.col("id") * 7 + 3, F.lit(people)).alias("manager_id"))
+    got = hierarchy.reporting_chain(df, "employee_id", "manager_id")
+    left = sorted(p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in scratch._written[before:])
+    assert left == ["lines", "rings", "rounds"]
+    managers = {i: (i * 7 + 3) % people for i in range(people)}
+    expected = []
+    for e in managers:
+        line, at = [], managers[e]
+        while at != e and at not in line:
+            line.append(at)
+            at = managers[at]
+        expected += [(e, i, a, "cycle") for i, a in enumerate(line, 1)]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(expected)
+
+
+def test_neighbours_around_a_cycle_lie_together(spark, tmp_path, monkeypatch):
+    """Walkers and members of a pair of blocks in the order of their places, which files need little room for."""
+    monkeypatch.setattr(hierarchy, "BLOCK", 64)
+    df = spark.range(256).select((F.col("id") * 37 % 256).alias("employee_id"), ((F.col("id") + 1) * 37 % 256).alias("manager_id"))
+    rows = hierarchy.reporting_chain(df, "employee_id", "manager_id").select(F.spark_partition_id().alias("p"), "employee_id", "level").collect()
+    assert len(rows) == 256 * 255
+    steps = [b.level - a.level for a, b in zip(rows, rows[1:]) if (a.p, a.employee_id) == (b.p, b.employee_id)]
+    assert sum(s in (1, 2) for s in steps) > 0.9 * len(steps)
