@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from annalist import hr
+from annalist.operators.incremental import batch_versions
 from annalist.operators.keys import dense_keys
 from annalist.operators.quality import QualityError
 from annalist.operators.versions import build_versions
 from annalist.plans import daily, jobs
+from annalist.sources import scratch
 from annalist.sources.releases import Releases, Stage
 
 TABLES = ("silver_snapshot", "versions", "silver_base", "silver_events", "gold_static", "gold_scd2", "gold_changes", "gold_daily", "gold_reporting")
@@ -179,3 +181,35 @@ def test_ranged_keys_where_ranges_of_nulls_come_first(spark):
     got = dense_keys(data, ["k"], "sk", ranged=True)
     found = sorted(got.collect(), key=lambda r: r.sk)
     assert [r.sk for r in found] == list(range(1, 81)) and [r.k for r in found] == [None] * 40 + list(range(40))
+
+
+def test_a_load_leaves_nothing_but_its_release(spark, deliveries, expected, tmp_path):
+    """No scratch table stays, the files are let go when Bronze has them, and old copies go before new ones come."""
+    before, taken, seen = list(scratch._written), [], []
+    releases = Releases(spark, str(tmp_path))
+
+    def landed(n):
+        bronze = list(tmp_path.glob(f"tables/bronze/n={n}/_part=*/*.parquet"))
+        taken.append((n, bool(bronze)))
+        seen.append(len(list(tmp_path.glob("tables/silver_snapshot/n=0/_part=*"))))
+
+    for n, path in enumerate([*deliveries, deliveries[0]]):
+        daily.deliver(spark, path, str(tmp_path), buckets=16, documented=True, delivery=f"d{n}", landed=lambda n=n: landed(n))
+        if n == 1:
+            assert {t: state(releases, t) for t in TABLES} == expected
+    assert scratch._written == before
+    assert taken == [(0, True), (1, True), (2, True)]
+    needed = {p for p, (n, _) in releases.manifest(1)["silver_snapshot"].items() if n == 0}
+    assert seen[2] == len(needed) < seen[1]
+
+
+def test_days_of_a_conformed_history_are_not_dealt_again(spark):
+    """Versions of late employees are built with one shuffle of the history less."""
+    day = "date '2024-01-01'"
+    raw = hr.silver_snapshot(spark.createDataFrame(rows(range(4), [0, 3, 5]), ", ".join(f"{c} string" for c in hr.RAW_COLUMNS)))
+    opened = build_versions(raw.where(f"snapshot_date > {day}"), hr.SPEC, with_last_seen=True).where("is_current")
+    batch = raw.where(f"snapshot_date = {day}")
+    one, two = (batch_versions(opened, batch, hr.SPEC, raw, conformed)[0] for conformed in (True, False))
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+    windows = [df._jdf.queryExecution().optimizedPlan().toString().count("Window [") for df in (one, two)]
+    assert windows[0] < windows[1]
